@@ -3,6 +3,6 @@
 
 def registry():
     """The catalog with every query module loaded."""
-    from stayline.catalog import base, client_grain  # noqa: F401
+    from stayline.catalog import base, client_grain, exploring, scored  # noqa: F401
 
     return base
