@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,7 +12,7 @@ from stayline.sources.schema import columns_with_prefix, date_columns, numeric_c
 
 UNKNOWN = "Unknown"
 FILL_GROUP_LIMIT = 5_000_000
-FILL_PIECES = 1_000
+FILL_PIECES = 500
 
 
 def fill_numeric(df: DataFrame, value: float = 0.0, columns: list[str] | None = None) -> DataFrame:
@@ -71,10 +72,10 @@ def _fill_in_pieces(df, columns, partition_by, order_by, direction) -> DataFrame
         .agg(F.percentile_approx("v", [i / FILL_PIECES for i in range(1, FILL_PIECES)], 10_000))
         .first()[0]
     )
-    cuts = sorted(set(cuts or []))
-    edges = F.array(*[F.lit(c) for c in cuts]) if cuts else F.array().cast("array<double>")
-    piece = F.coalesce(F.size(F.filter(edges, lambda x: x < as_number.cast("double"))), F.lit(-1))
-    pieces = df.withColumn("_piece", piece)
+    edges = [float("-inf"), *sorted(set(cuts or [0.0])), float("inf")]
+    cutter = Bucketizer(splits=edges, inputCol="_position", outputCol="_piece", handleInvalid="keep")
+    pieces = cutter.transform(df.withColumn("_position", as_number.cast("double")))
+    pieces = pieces.withColumn("_piece", F.when(F.col("_position").isNull(), -1.0).otherwise(F.col("_piece")))
     inner = Window.partitionBy(*partition_by, "_piece").orderBy(*order_by)
     filled = pieces.withColumns({c: _carried(F.col(c), inner, direction) for c in columns})
 
