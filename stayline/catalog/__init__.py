@@ -3,6 +3,6 @@
 
 def registry():
     """The catalog with every query module loaded."""
-    from stayline.catalog import base, client_grain, derived, exploring, modelling, scored, tables  # noqa: F401
+    from stayline.catalog import base, client_grain, derived, exploring, learning, modelling, scored, tables  # noqa: F401
 
     return base

@@ -39,7 +39,7 @@ def _km(group: str) -> str:
           sum(CASE WHEN at_risk > events THEN CAST(events AS DOUBLE) / (CAST(at_risk AS DOUBLE) * (at_risk - events)) ELSE 0 END) OVER ({part} ORDER BY t) AS v,
           max(CASE WHEN at_risk = events THEN 1 ELSE 0 END) OVER ({part} ORDER BY t) AS none FROM (
           SELECT *, sum(leaving) OVER ({part} ORDER BY t DESC) AS at_risk FROM (
-            SELECT {lead}days AS t, sum(ended) AS events, count(*) AS leaving FROM spells GROUP BY {lead}days)))))"""
+            SELECT {lead}days AS t, sum(ended) AS events, count(*) AS leaving FROM spells GROUP BY {lead}days))))"""
 
 
 @query("r01_kaplan_meier", _km(""), doubles="survival lower upper")
@@ -291,7 +291,7 @@ def u07(spark, folder):
     """The clustering table merged to segments, with segment sizes and means."""
     from stayline.plans.clustering import build_cluster_table, build_segments
 
-    built = build_cluster_table(stored_abt(spark, folder), imputation_rounds=3)
+    built = build_cluster_table(stored_abt(spark, folder), imputation_rounds=1)
     perspectives = {
         "P1": ["N_CONTRACTS", "TOTAL_MTFINO", "TOTAL_MENSALIDADE"],
         "P3": ["CLIENT_SENIORITY_YEARS", "YEARS_SINCE_LAST_CONTRACT"],

@@ -86,14 +86,10 @@ class IterativeImputer(Configured, Estimator):
         steps: list = []
         start = np.array(initial, dtype=float)
         for round_ in range(self.value("maxIter")):
-            last = steps[-len(order):] if round_ else []
-            current: list = []
             for j in order:
-                known = (steps + current)[-len(order):] if round_ else current
-                intercept, weights = self._regress(rows, columns, j, start, known if round_ == 0 else steps + current)
-                current.append((j, intercept, [float(w) for w in weights]))
-            steps += current
-            if round_ and last and self._change(rows, start, steps, len(order)) < limit:
+                intercept, weights = self._regress(rows, columns, j, start, steps)
+                steps = [*steps, (j, intercept, [float(w) for w in weights])]
+            if round_ and order and self._change(rows, start, steps, len(order)) < limit:
                 break
         return IterativeImputerModel(columns=columns, initial=[float(v) for v in start], steps=[list(s) for s in steps])
 
