@@ -92,39 +92,39 @@ def _large_groups(df: DataFrame, keys: list[str], specs: Spec, size: int, limit:
         F.explode(
             F.array(
                 *[
-                    F.struct(F.lit(i).alias("q"), F.col(c).cast("double").alias("v"))
+                    F.struct(F.lit(i).alias("_q"), F.col(c).cast("double").alias("_v"))
                     for i, c in enumerate(columns)
                 ]
             )
-        ).alias("x"),
-    ).select(*keys, "x.q", "x.v").where(F.col("v").isNotNull())
+        ).alias("_x"),
+    ).select(*keys, "_x._q", "_x._v").where(F.col("_v").isNotNull())
 
     wanted = F.array(
         *[
-            F.struct(F.lit(columns.index(c)).alias("q"), F.lit(i).alias("s"), F.lit(float(p)).alias("p"))
+            F.struct(F.lit(columns.index(c)).alias("_q"), F.lit(i).alias("_s"), F.lit(float(p)).alias("_p"))
             for i, (c, p) in enumerate(specs.values())
         ]
     )
-    position = F.col("p") * (F.col("n") - 1)
+    position = F.col("_p") * (F.col("_n") - 1)
     requests = (
-        rows.groupBy(*keys, "q")
-        .agg(F.count("*").alias("n"))
-        .select("*", F.explode(F.filter(wanted, lambda x: x["q"] == F.col("q"))).alias("x"))
-        .select(*keys, "q", "n", "x.s", "x.p")
+        rows.groupBy(*keys, "_q")
+        .agg(F.count("*").alias("_n"))
+        .select("*", F.explode(F.filter(wanted, lambda x: x["_q"] == F.col("_q"))).alias("_x"))
+        .select(*keys, "_q", "_n", "_x._s", "_x._p")
         .select(
             *keys,
-            "q",
-            "s",
-            (F.floor(position) + 1).alias("k"),
-            (position - F.floor(position)).alias("part"),
+            "_q",
+            "_s",
+            (F.floor(position) + 1).alias("_k"),
+            (position - F.floor(position)).alias("_part"),
         )
     )
     requests = materialise(requests)
     rounds = max(1, math.ceil(math.log(size / limit) / math.log(SPLITS * 0.75)))
-    group = "q"
+    group = "_q"
     for _ in range(rounds):
         rows, requests = _narrow(rows, requests, keys, group)
-        group = "s"
+        group = "_s"
     return _pick(rows, requests, keys, list(specs), df)
 
 
@@ -134,23 +134,23 @@ def _narrow(
     """Keep the buckets that hold the wanted rank and the one after it."""
     at = [*keys, group]
     cuts = [i / SPLITS for i in range(1, SPLITS)]
-    splits = rows.groupBy(*at).agg(F.percentile_approx("v", cuts, SPLIT_ACCURACY).alias("cuts"))
-    bucketed = rows.join(splits, at).select(*at, "v", _bucket(0, SPLITS - 1).alias("b"))
-    counted = bucketed.groupBy(*at, "b").agg(F.count("*").alias("w"))
-    running = Window.partitionBy(*at).orderBy("b").rowsBetween(Window.unboundedPreceding, 0)
-    counted = counted.withColumn("upto", F.sum("w").over(running)).withColumn(
-        "before", F.col("upto") - F.col("w")
+    splits = rows.groupBy(*at).agg(F.percentile_approx("_v", cuts, SPLIT_ACCURACY).alias("_cuts"))
+    bucketed = rows.join(splits, at).select(*at, "_v", _bucket(0, SPLITS - 1).alias("_b"))
+    counted = bucketed.groupBy(*at, "_b").agg(F.count("*").alias("_w"))
+    running = Window.partitionBy(*at).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
+    counted = counted.withColumn("_upto", F.sum("_w").over(running)).withColumn(
+        "_before", F.col("_upto") - F.col("_w")
     )
-    per_request = Window.partitionBy(*keys, "s")
+    per_request = Window.partitionBy(*keys, "_s")
     hits = (
         requests.join(counted, at)
-        .where((F.col("upto") >= F.col("k")) & (F.col("before") <= F.col("k")))
-        .withColumn("base", F.min("before").over(per_request))
-        .select(*dict.fromkeys([*at, "s"]), "b", (F.col("k") - F.col("base")).alias("k"), "part")
+        .where((F.col("_upto") >= F.col("_k")) & (F.col("_before") <= F.col("_k")))
+        .withColumn("_base", F.min("_before").over(per_request))
+        .select(*dict.fromkeys([*at, "_s"]), "_b", (F.col("_k") - F.col("_base")).alias("_k"), "_part")
     )
     hits = materialise(hits)
-    kept = bucketed.join(hits.select(*dict.fromkeys([*at, "s"]), "b"), [*at, "b"])
-    return materialise(kept.select(*keys, "s", "v")), hits.select(*keys, "s", "k", "part").distinct()
+    kept = bucketed.join(hits.select(*dict.fromkeys([*at, "_s"]), "_b"), [*at, "_b"])
+    return materialise(kept.select(*keys, "_s", "_v")), hits.select(*keys, "_s", "_k", "_part").distinct()
 
 
 def _bucket(lo: int, hi: int) -> Column:
@@ -158,7 +158,7 @@ def _bucket(lo: int, hi: int) -> Column:
     if lo == hi:
         return F.lit(lo)
     middle = (lo + hi) // 2
-    return F.when(F.col("v") <= F.col("cuts")[middle], _bucket(lo, middle)).otherwise(
+    return F.when(F.col("_v") <= F.col("_cuts")[middle], _bucket(lo, middle)).otherwise(
         _bucket(middle + 1, hi)
     )
 
@@ -166,18 +166,18 @@ def _bucket(lo: int, hi: int) -> Column:
 def _pick(
     rows: DataFrame, requests: DataFrame, keys: list[str], aliases: list[str], df: DataFrame
 ) -> DataFrame:
-    at = [*keys, "s"]
-    running = Window.partitionBy(*at).orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = rows.groupBy(*at, "v").agg(F.count("*").alias("w")).withColumn("upto", F.sum("w").over(running))
-    low = F.min(F.when(F.col("upto") >= F.col("k"), F.col("v")))
-    high = F.min(F.when(F.col("upto") >= F.col("k") + 1, F.col("v")))
+    at = [*keys, "_s"]
+    running = Window.partitionBy(*at).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = rows.groupBy(*at, "_v").agg(F.count("*").alias("_w")).withColumn("_upto", F.sum("_w").over(running))
+    low = F.min(F.when(F.col("_upto") >= F.col("_k"), F.col("_v")))
+    high = F.min(F.when(F.col("_upto") >= F.col("_k") + 1, F.col("_v")))
     values = (
         ranked.join(requests, at)
-        .groupBy(*at, "part")
-        .agg(low.alias("low"), high.alias("high"))
-        .withColumn("value", F.col("low") + F.col("part") * (F.coalesce("high", "low") - F.col("low")))
+        .groupBy(*at, "_part")
+        .agg(low.alias("_low"), high.alias("_high"))
+        .withColumn("_value", F.col("_low") + F.col("_part") * (F.coalesce("_high", "_low") - F.col("_low")))
     )
     wide = values.groupBy(*keys).agg(
-        *[F.max(F.when(F.col("s") == i, F.col("value"))).alias(a) for i, a in enumerate(aliases)]
+        *[F.max(F.when(F.col("_s") == i, F.col("_value"))).alias(a) for i, a in enumerate(aliases)]
     )
     return df.select(*keys).distinct().join(wide, keys, "left") if keys else wide

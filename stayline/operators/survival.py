@@ -15,6 +15,7 @@ import pandas as pd
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 NORMAL_95 = 1.959963984540054  # fixed value: 97.5 % point of the normal distribution
 TIMEPOINTS = (90, 180, 365, 730, 1460, 2920)
@@ -329,7 +330,7 @@ DIGIT_BITS = 4
 RADIX = 1 << DIGIT_BITS
 
 
-@F.pandas_udf("long")
+@F.pandas_udf(T.LongType())
 def _ordered_bits(score: pd.Series) -> pd.Series:
     """Bit pattern of a double as an integer that sorts like the double."""
     value = score.to_numpy(float) + 0.0  # turns -0.0 into 0.0
