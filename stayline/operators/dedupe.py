@@ -1,8 +1,8 @@
-"""Duplicates and keys. Winners are picked by aggregation, so a hot key combines before the shuffle."""
+"""Duplicates and keys. Losers are dropped before the shuffle, so a hot key stays small."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stayline.functions.columns import nulls_in_row
@@ -14,12 +14,16 @@ def drop_exact(df: DataFrame) -> DataFrame:
 
 
 def keep_most_complete(df: DataFrame, keys: list[str], tie_break: list[str] = ()) -> DataFrame:
-    """One row per key: fewest nulls, then the smallest ``tie_break``, then the smallest row."""
+    """One row per key: fewest nulls, then the smallest ``tie_break``, then the smallest row.
+
+    Only the first row of each key is asked for, so every map task keeps one row
+    per key before the shuffle and a hot key brings one row per task.
+    """
     keys = present(df, keys)
-    rest = [c for c in df.columns if c not in keys]
-    ranking = [nulls_in_row(df.columns).alias("_nulls"), *[F.col(c).alias(f"_tie_{c}") for c in tie_break]]
-    best = df.groupBy(*keys).agg(F.min(F.struct(*ranking, *rest)).alias("_row"))
-    return best.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest]).select(*df.columns)
+    rest = [c for c in df.columns if c not in keys and c not in tie_break]
+    window = Window.partitionBy(*keys).orderBy(nulls_in_row(df.columns), *tie_break, *rest)
+    ranked = df.withColumn("_place", F.row_number().over(window))
+    return ranked.filter(F.col("_place") == 1).drop("_place")
 
 
 def handle_duplicates(df: DataFrame, keys: list[str] = (), tie_break: list[str] = ()) -> DataFrame:

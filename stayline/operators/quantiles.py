@@ -36,8 +36,24 @@ def _keyed(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.na.drop(subset=keys) if keys else df
 
 
-def percentile_columns(specs: Spec) -> list[Column]:
-    return [F.percentile(F.col(c).cast("double"), F.lit(p)).alias(a) for a, (c, p) in specs.items()]
+def percentile_arrays(specs: Spec) -> tuple[list[Column], list[Column]]:
+    """One aggregate per column for all its probabilities, and the columns to take from them."""
+    wanted: dict[str, list[float]] = {}
+    for c, p in specs.values():
+        if p not in wanted.setdefault(c, []):
+            wanted[c].append(p)
+    held = {c: f"_percentiles_{i}" for i, c in enumerate(wanted)}
+    aggregates = [
+        F.percentile(F.col(c).cast("double"), F.array(*[F.lit(float(p)) for p in ps])).alias(held[c])
+        for c, ps in wanted.items()
+    ]
+    return aggregates, [F.col(held[c])[wanted[c].index(p)].alias(a) for a, (c, p) in specs.items()]
+
+
+def _direct(df: DataFrame, keys: list[str], specs: Spec, aggregates: list[Column] = ()) -> DataFrame:
+    arrays, picked = percentile_arrays(specs)
+    out = df.groupBy(*keys).agg(*aggregates, *arrays)
+    return out.select(*[c for c in out.columns if not c.startswith("_percentiles_")], *picked)
 
 
 def medians(columns: list[str], suffix: str = "") -> Spec:
@@ -51,11 +67,11 @@ def group_quantiles(
     size = largest_group(df, keys) if group_size is None else group_size
     df = _keyed(df, keys)
     if size <= limit:
-        return df.groupBy(*keys).agg(*percentile_columns(specs))
+        return _direct(df, keys, specs)
     if not keys:
         return _large_groups(df, keys, specs, size, limit)
     large = df.groupBy(*keys).count().filter(F.col("count") > limit).select(*keys)
-    ordinary = df.join(large, keys, "left_anti").groupBy(*keys).agg(*percentile_columns(specs))
+    ordinary = _direct(df.join(large, keys, "left_anti"), keys, specs)
     hot = _large_groups(df.join(large, keys, "left_semi"), keys, specs, size, limit)
     return ordinary.unionByName(hot)
 
@@ -72,7 +88,7 @@ def aggregate_with_quantiles(
     size = largest_group(df, keys) if group_size is None else group_size
     df = _keyed(df, keys)
     if size <= limit:
-        return df.groupBy(*keys).agg(*aggregates, *percentile_columns(specs))
+        return _direct(df, keys, specs, aggregates)
     base = df.groupBy(*keys).agg(*aggregates)
     return base.join(group_quantiles(df, keys, specs, limit, size), keys, "left")
 

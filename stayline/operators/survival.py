@@ -354,6 +354,9 @@ def concordance(df: DataFrame, duration: str, event: str, risk: str) -> DataFram
         .withColumn("code", _ordered_bits("r"))
     )
     levels = 64 // DIGIT_BITS
+    varying = rows.agg(F.bit_or("code").bitwiseXOR(F.bit_and("code"))).first()[0] or 0
+    # a digit that is the same in every score separates no pair
+    useful = [n for n in range(levels) if (varying >> (n * DIGIT_BITS)) & (RADIX - 1)] or [0]
     parts = F.array(
         *[
             F.struct(
@@ -363,7 +366,7 @@ def concordance(df: DataFrame, duration: str, event: str, risk: str) -> DataFram
                  if level + 1 < levels
                  else (F.shiftright("code", level * DIGIT_BITS) + RADIX // 2).cast("int")).alias("digit"),
             )
-            for level in range(levels)
+            for level in useful
         ]
     )
     digits = rows.select("t", "e", "m", F.explode(parts).alias("x")).select("t", "e", "m", "x.*")

@@ -11,6 +11,8 @@ LOCAL_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # per-client aggregates with medians: hash more groups before sorting them
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "20000",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
