@@ -81,31 +81,49 @@ def empty_columns(df: DataFrame) -> list[str]:
 
 
 def dominant_values(df: DataFrame, columns: list[str] | None = None, floor: float = 0.5) -> DataFrame:
-    """Most frequent non-null value per column with its exact count.
+    """Most frequent non-null value of each column where it covers at least ``floor`` of the filled rows.
 
-    A value above ``floor`` (one half or more) of the rows is always among the
-    candidates of the heavy-hitter sketch; the second pass counts the candidates
-    exactly, so no column is spread over the cluster by value.
+    A value with a share of one half or more is always among the candidates of
+    the heavy-hitter sketch, whose counts are never too low. Where the candidates
+    account for every filled row the counts are exact already; only for other
+    columns with a promising candidate a second pass counts it. No column is
+    spread over the cluster by value. Columns without such a value read 0 rows.
     """
     if floor < 0.5:
         raise ValueError("dominant values are exact from a share of one half upwards")
     columns = columns or df.columns
-    spark = df.sparkSession
     texts = {c: F.col(c).cast("string") for c in columns}
-    found = df.agg(*[F.call_function("approx_top_k", t, F.lit(4), F.lit(1024)).alias(c) for c, t in texts.items()]).first()
-    candidates = {c: [x["item"] for x in (found[c] or []) if x["item"] is not None] for c in columns}
-    exprs = [F.count("*").alias("rows")]
-    for c in columns:
-        exprs.append(F.count(c).alias(f"filled__{c}"))
-        exprs += [F.count(F.when(texts[c] == v, 1)).alias(f"{i}__{c}") for i, v in enumerate(candidates[c])]
-    counted = df.agg(*exprs).first()
+    found = df.agg(
+        F.count("*").alias("rows"),
+        *[F.count(c).alias(f"filled__{c}") for c in columns],
+        *[F.call_function("approx_top_k", t, F.lit(4), F.lit(1024)).alias(f"top__{c}") for c, t in texts.items()],
+    ).first()
+    filled = {c: found[f"filled__{c}"] for c in columns}
+    candidates = {
+        c: {x["item"]: x["count"] for x in (found[f"top__{c}"] or []) if x["item"] is not None} for c in columns
+    }
+    open_columns = [
+        c
+        for c, items in candidates.items()
+        if items and sum(items.values()) != filled[c] and max(items.values()) >= floor * filled[c]
+    ]
+    if open_columns:
+        counted = df.agg(
+            *[
+                F.count(F.when(texts[c] == v, 1)).alias(f"{i}__{c}")
+                for c in open_columns
+                for i, v in enumerate(candidates[c])
+            ]
+        ).first()
+        for c in open_columns:
+            candidates[c] = {v: counted[f"{i}__{c}"] for i, v in enumerate(candidates[c])}
     rows = []
-    for c in columns:
-        best = max(
-            ((counted[f"{i}__{c}"], v) for i, v in enumerate(candidates[c])), default=(0, None), key=lambda x: x[0]
-        )
-        rows.append((c, best[1], best[0], counted[f"filled__{c}"], counted["rows"]))
-    return spark.createDataFrame(
+    for c, items in candidates.items():
+        value, count = max(items.items(), key=lambda x: x[1], default=(None, 0))
+        if not items or count < floor * filled[c]:
+            value, count = None, 0
+        rows.append((c, value, count, filled[c], found["rows"]))
+    return df.sparkSession.createDataFrame(
         rows, "column string, top_value string, top_rows long, filled_rows long, rows long"
     )
 
@@ -120,6 +138,8 @@ def near_constant_columns(
     columns = df.columns if columns is None else columns
     if not columns:
         return []
+    if share < 0.5:
+        raise ValueError("the share must be one half or more")
     top = F.greatest(F.col("top_rows"), F.col("rows") - F.col("filled_rows"))
     hits = dominant_values(df, columns).filter(top >= F.col("rows") * share).select("column").collect()
     names = {r["column"] for r in hits}
