@@ -9,7 +9,7 @@ from stayline.plans import bindings
 from stayline.plans import modelling as m
 from stayline.plans.abt import stored_abt
 
-QUICK = {"trees": 10, "forestDepth": 5, "rfeStep": 0.5, "lassoMaxIter": 30, "rfeMaxIter": 30}
+QUICK = {"trees": 5, "forestDepth": 4, "rfeStep": 0.5, "lassoMaxIter": 30, "rfeMaxIter": 30}
 FOREST = m.Setting("forest", {"trees": 20, "depth": 6})
 LOGISTIC = m.Setting("logistic", {"iterations": 50})
 
@@ -122,7 +122,9 @@ def p06(spark, folder):
 @query("p07_random_search")
 def p07(spark, folder):
     train, _ = m.train_and_test(stored_abt(spark, folder), "IS_EARLY_SETTLER")
-    candidates = m.draw_settings("logistic", False, 2)
+    candidates = [
+        (m.Setting(s.model, {**s.params, "iterations": 30}), selector) for s, selector in m.draw_settings("logistic", False, 2)
+    ]
     return m.random_search(train, candidates, folds=2, fixed_selector=QUICK).trials
 
 
