@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,11 +35,18 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf) -
     return spark
 
 
+def require_local(master: str) -> None:
+    """Only one machine can share a temporary folder."""
+    if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+        raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors share (master {master})")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder for checkpoints and hand-off tables.
 
-    The cluster names it in ``spark.checkpoint.dir``; only where that is unset
-    (a local run) a temporary folder is used.
+    The cluster names it in ``spark.checkpoint.dir``. A temporary folder is used
+    only where that is unset and the master is local; other masters are refused,
+    because executors could not read each other's files there.
     """
     context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
@@ -48,6 +56,7 @@ def shared_dir(spark: SparkSession) -> str:
         return configured
     current = context.getCheckpointDir()
     if current is None:
+        require_local(context.master)
         context.setCheckpointDir(tempfile.mkdtemp(prefix="stayline-"))
         current = context.getCheckpointDir()
     return current

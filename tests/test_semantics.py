@@ -215,3 +215,13 @@ def test_page_past_the_end_gives_the_last_page(spark):
 
     df = spark.createDataFrame([(i, float(i), 0.1, 1, "Monitor", float(i)) for i in range(7)], "CONTRIB int, P_SAN double, P_CHURN double, CLUSTER int, ACTION string, REVENUE_AT_RISK double")
     assert one(page(df, Search(), 99, size=3), "CONTRIB") == [0]
+
+
+def test_only_a_local_master_may_use_a_temporary_folder():
+    from stayline.session import require_local
+
+    for master in ("local", "local[8]", "local[*]"):
+        require_local(master)
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]", "k8s://host"):
+        with pytest.raises(RuntimeError):
+            require_local(master)
