@@ -25,7 +25,7 @@ from stayline.llm.common import new_folder, packed, text_of, unpacked
 CACHE_SCHEMA = "content binary, tokenizer string, n_tokens long"
 
 #: Pre-token counts a task remembers before it starts anew.
-MEMO_LIMIT = 1_500_000
+MEMO_LIMIT = 300_000
 
 
 def tokenizer_version(path: str) -> str:
@@ -122,8 +122,8 @@ def _encoder(path: str):
             counter = counter or Counter(path)
             counts: list[int] = []
             texts = batch.column("text")
-            for start in range(0, batch.num_rows, 500):
-                counts += counter.many(texts.slice(start, 500).to_pylist())
+            for start in range(0, batch.num_rows, 200):
+                counts += counter.many(texts.slice(start, 200).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("content"), pa.array(counts, pa.int64())], names=["content", "n_tokens"]
             )
