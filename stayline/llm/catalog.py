@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayline.llm import licenses, quality_rules, token_cache
+from stayline.llm import labelled, licenses, quality_gam, quality_rules, token_cache, toxicity
 from stayline.llm.common import table, text_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,3 +44,29 @@ def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return ruled.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
+
+
+@query
+def op3_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    scored = quality_gam.quality_scores(
+        table(spark, folder, "documents"), table(spark, folder, "labels"), folds=4, fold_out=2, keep=["doc_id"]
+    )
+    return scored.select(
+        "doc_id",
+        labelled.held_out(F.col("doc_id"), 4, 2).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
+
+
+@query
+def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    scored = toxicity.toxicity_scores(
+        table(spark, folder, "documents"), table(spark, folder, "labels"), folds=3, fold_out=1, keep=["doc_id"]
+    )
+    return scored.select(
+        "doc_id",
+        labelled.held_out(F.col("doc_id"), 3, 1).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )

@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stayline.session import shared_dir
 
@@ -30,6 +31,14 @@ def packed(df: DataFrame, **named: Column) -> DataFrame:
     return df.select(whole, *[c.alias(k) for k, c in named.items()])
 
 
+def with_row(df: DataFrame, **types: str) -> T.StructType:
+    """Schema of the packed ``row`` of ``df`` followed by further columns."""
+    schema = T.StructType([df.schema["row"]])
+    for name, kind in types.items():
+        schema = schema.add(name, T.DataType.fromDDL(kind))
+    return schema
+
+
 def unpacked(df: DataFrame, *more: Column) -> DataFrame:
     return df.select("row.*", *more)
 
