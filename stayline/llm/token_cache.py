@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import os
 import re
 from collections.abc import Iterator
 
@@ -25,7 +26,7 @@ from stayline.llm.common import new_folder, packed, text_of, unpacked
 CACHE_SCHEMA = "content binary, tokenizer string, n_tokens long"
 
 #: Pre-token counts a task remembers before it starts anew.
-MEMO_LIMIT = 300_000
+MEMO_LIMIT = 100_000
 
 
 def tokenizer_version(path: str) -> str:
@@ -41,7 +42,8 @@ def content_digest(text: Column) -> Column:
 class Counter:
     """Counts tokens of whole texts with the library that the file is for."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, by_word: bool = False, special: tuple[str, ...] = ()):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark deals out the work
         if path.endswith(".model"):
             import sentencepiece
 
@@ -53,12 +55,10 @@ class Counter:
         self.whole = Tokenizer.from_file(path)
         self.whole.no_truncation()
         self.whole.no_padding()
-        spec = json.loads(self.whole.to_str())
-        self.many = self.by_word if splits_at_spaces(spec) else self.by_text
+        self.many = self.by_word if by_word else self.by_text
         self.memo: dict[str, int] = {}
-        special = [re.escape(t["content"]) for t in spec["added_tokens"]]
         # other engines do not count the control characters 1C-1F as white space
-        self.unusual = re.compile("|".join([*special, "[\x1c-\x1f]"]))
+        self.unusual = re.compile("|".join([*map(re.escape, special), "[\x1c-\x1f]"]))
 
     def by_text(self, texts: list[str]) -> list[int]:
         return [len(e) for e in self.whole.encode_batch_fast(texts, add_special_tokens=False)]
@@ -113,17 +113,26 @@ def splits_at_spaces(spec: dict) -> bool:
     )
 
 
-def _encoder(path: str):
+def counter_arguments(path: str) -> tuple:
+    """What :class:`Counter` needs to know of a vocabulary file, read once on the driver."""
+    if path.endswith(".model"):
+        return (path,)
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    return path, splits_at_spaces(spec), tuple(t["content"] for t in spec["added_tokens"])
+
+
+def _encoder(arguments: tuple):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            counter = counter or Counter(path)
+            counter = counter or Counter(*arguments)
             counts: list[int] = []
             texts = batch.column("text")
-            for start in range(0, batch.num_rows, 200):
-                counts += counter.many(texts.slice(start, 200).to_pylist())
+            for start in range(0, batch.num_rows, 100):
+                counts += counter.many(texts.slice(start, 100).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("content"), pa.array(counts, pa.int64())], names=["content", "n_tokens"]
             )
@@ -154,7 +163,7 @@ def add_misses(docs: DataFrame, folder: str, path: str, text: str = "text") -> N
         .agg(F.first("text").alias("text"))
     )
     (
-        missing.mapInArrow(_encoder(path), "content binary, n_tokens long")
+        missing.mapInArrow(_encoder(counter_arguments(path)), "content binary, n_tokens long")
         .select("content", F.lit(version).alias("tokenizer"), "n_tokens")
         .write.mode("append")
         .parquet(folder)
