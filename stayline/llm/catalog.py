@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayline.llm import labelled, licenses, quality_gam, quality_rules, token_cache, toxicity
+from stayline.llm import cube_mixing, labelled, licenses, quality_gam, quality_rules, token_cache, toxicity
 from stayline.llm.common import table, text_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,3 +70,9 @@ def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
         "score",
         (F.col("score") >= 0.7).cast("int").alias("predicted"),
     )
+
+
+@query
+def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    mixed = cube_mixing.mix(table(spark, folder, "documents"), keep=["doc_id"])
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
