@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayline.llm import cube_mixing, labelled, licenses, quality_gam, quality_rules, token_cache, toxicity
+from stayline.llm import cube_mixing, labelled, licenses, quality_gam, quality_rules, token_cache, toxicity, warc
 from stayline.llm.common import table, text_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,3 +76,16 @@ def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
     mixed = cube_mixing.mix(table(spark, folder, "documents"), keep=["doc_id"])
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query
+def op7_warc(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages")
+    kind = pages.schema["page_id"].dataType
+    return warc.archive_and_read(pages).select(
+        F.col("page_id").cast(kind).alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.col("refers_to").cast(kind).alias("refers_to"),
+    )
