@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayline.llm import cube_mixing, labelled, licenses, quality_gam, quality_rules, token_cache, toxicity, warc
+from stayline.llm import cube_mixing, labelled, licenses, quality_gam, quality_rules, simhash_ball, token_cache, toxicity, warc
 from stayline.llm.common import table, text_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -89,3 +89,9 @@ def op7_warc(spark: SparkSession, folder: str) -> DataFrame:
         "record_type",
         F.col("refers_to").cast(kind).alias("refers_to"),
     )
+
+
+@query
+def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    found = simhash_ball.near_duplicates(table(spark, folder, "documents"), keep=["doc_id"])
+    return found.select("doc_id", "fingerprint", "component_id")
