@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayline.llm import cube_mixing, labelled, licenses, quality_gam, quality_rules, simhash_ball, token_cache, toxicity, warc
+from stayline.llm import cube_mixing, labelled, licenses, quality_gam, quality_rules, simhash_ball, suffix_repeats, token_cache, toxicity, warc
 from stayline.llm.common import table, text_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,3 +95,12 @@ def op7_warc(spark: SparkSession, folder: str) -> DataFrame:
 def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash_ball.near_duplicates(table(spark, folder, "documents"), keep=["doc_id"])
     return found.select("doc_id", "fingerprint", "component_id")
+
+
+@query
+def op10_suffix_array(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    cut = suffix_repeats.remove_repeats(docs, 400, keep=["doc_id"], with_text=False)
+    return cut.select(
+        "doc_id", "n_bytes", "n_removed", F.size("removed_spans").cast("long").alias("n_spans"), "kept_sha256"
+    )
