@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayline.llm import cube_mixing, labelled, licenses, quality_gam, quality_rules, simhash_ball, suffix_repeats, token_cache, toxicity, warc
+from stayline.llm import cube_mixing, decontaminate, labelled, licenses, quality_gam, quality_rules, simhash_ball, suffix_repeats, token_cache, toxicity, warc
 from stayline.llm.common import table, text_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -104,3 +105,18 @@ def op10_suffix_array(spark: SparkSession, folder: str) -> DataFrame:
     return cut.select(
         "doc_id", "n_bytes", "n_removed", F.size("removed_spans").cast("long").alias("n_spans"), "kept_sha256"
     )
+
+
+@query
+def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return decontaminate.contamination(docs, table(spark, folder, "benchmark"), keep=["doc_id"])
+
+
+@query
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    return corpus_pipeline.run(spark, folder)
+
+
+if corpus_pipeline.ORACLE_SQL:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
