@@ -30,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stayline.llm.common import partitions, stored, text_key, text_of, unpacked, with_row
@@ -42,54 +42,52 @@ GRAM = 12
 #: Suffixes sorted in one task.
 TASK_SUFFIXES = 1_000_000
 
-SPARSE = "t1 long, t2 long, t3 long, k1 long, k2 long, start int, n int"
+SPARSE = "t1 long, t2 long, k1 long, k2 long, start int, n int"
 WINDOWS = "t1 long, t2 long, k1 long, k2 long, start int"
 SPANS = "k1 long, k2 long, start int, n int, sure boolean"
 
 
-def reach(length: int) -> int:
-    """Bytes of a window among which its anchor is chosen."""
-    return max(1, 3 * length // 4)
+def stretch(length: int) -> int:
+    """Windows of an anchor that are told apart in the first step: those in one stretch of offsets."""
+    return max(1, length // 4)
 
 
 def anchors(raw: np.ndarray, starts: np.ndarray, length: int) -> Iterator[tuple[np.ndarray, ...]]:
-    """(text, start, windows, t1, t2, t3) of the sparse suffixes of all texts, piece by piece.
+    """(text, start, windows, t1, t2) of the sparse suffixes of all texts, piece by piece.
 
     ``starts`` has the text borders in ``raw``. ``start`` is the first window's,
-    counted from its text.
+    counted from its text. The windows of an anchor are cut where their offset
+    to the anchor passes a multiple of :func:`stretch`, wherever they begin, so
+    the bytes that ``t1`` names depend on the anchor and the stretch alone.
     """
-    width = reach(length)
-    gram = min(GRAM, length - width + 1)
-    shared = length - width + 1
+    gram = min(GRAM, length)
+    width, step = length - gram + 1, stretch(length)
+    owner = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
     for lo in range(0, len(raw), PIECE):
         piece = raw[lo : lo + PIECE + length - 1]
         windows = min(PIECE, len(piece) - length + 1)
         if windows <= 0:
             break
-        place = np.arange(lo, lo + windows)
-        text = np.searchsorted(starts, place, "right") - 1
-        inside = place + length <= starts[text + 1]
-        if not inside.any():
-            continue
+        text = owner[lo : lo + windows]
         rolled = Rolled(piece)
         at = np.arange(windows + width - 1)
         order = rolled.of(at, at + gram)
         # the place in the low bits makes the leftmost of equal hashes the least
         least = least_in_window((order & ~np.uint64(0x1FFFFF)) | at.astype(np.uint64), width)[:windows]
         anchor = (least & np.uint64(0x1FFFFF)).astype(np.int64)
+        block = (anchor - at[:windows]) // step
         new = np.ones(windows, bool)
-        new[1:] = (anchor[1:] != anchor[:-1]) | (text[1:] != text[:-1])
+        new[1:] = (anchor[1:] != anchor[:-1]) | (block[1:] != block[:-1]) | (text[1:] != text[:-1])
         first = np.flatnonzero(new)
         n = np.diff(np.append(first, windows))
         # windows that leave their text come last in it
-        n = np.minimum(n, starts[text[first] + 1] - length + 1 - place[first])
+        n = np.minimum(n, starts[text[first] + 1] - length + 1 - lo - first)
         first, n = first[n > 0], n[n > 0]
-        stop = first + n - 1 + length
-        second = Rolled(piece, 1)
+        near = anchor[first] - block[first] * step
+        far = np.minimum(near - step + 1 + length, len(piece))
         yield (
-            text[first], place[first] - starts[text[first]], n,
-            rolled.of(anchor[first], anchor[first] + shared),
-            rolled.of(first, stop) + n.astype(np.uint64), second.of(first, stop),
+            text[first], lo + first - starts[text[first]], n,
+            rolled.of(near, far), rolled.of(first, first + n - 1 + length) + n.astype(np.uint64),
         )
 
 
@@ -106,9 +104,9 @@ def _sparse(length: int):
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw, starts = column_bytes(batch.column("text"))
-            for text, start, n, t1, t2, t3 in anchors(raw, starts, length):
+            for text, start, n, t1, t2 in anchors(raw, starts, length):
                 yield pa.RecordBatch.from_arrays(
-                    [_signed(t1), _signed(t2), _signed(t3), *_keys(batch, text),
+                    [_signed(t1), _signed(t2), *_keys(batch, text),
                      pa.array(start.astype(np.int32)), pa.array(n.astype(np.int32))],
                     names=[x.split()[0] for x in SPARSE.split(", ")],
                 )
@@ -165,10 +163,10 @@ def _compare_sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     c = _columns(batches)
     if c is None:
         return
-    order = multikey_quicksort([c["t1"], c["t2"], c["t3"]])
+    order = multikey_quicksort([c["t1"], c["t2"]])
     c = {k: v[order] for k, v in c.items()}
     group = _runs(c["t1"])
-    kind = _runs(c["t1"], c["t2"], c["t3"])
+    kind = _runs(c["t1"], c["t2"])
     equal = _in_runs(kind)
     leader = np.concatenate([[True], kind[1:] != kind[:-1]])
     kinds_of_group = np.bincount(group[leader])
@@ -203,56 +201,57 @@ def _window_suffixes(length: int):
     return emit
 
 
-EDGED = "t1 long, t2 long, k1 long, k2 long, start int, repeats boolean, edge boolean"
+EDGED = "t1 long, t2 long, k1 long, k2 long, start int, repeats boolean"
 
 
 def _compare_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Windows with an equal neighbour, and one row for the first and the last run of the range."""
+    """Windows with an equal neighbour, and the first and the last suffix of the range with their tokens."""
     c = _columns(batches)
     if c is None:
         return
     order = multikey_quicksort([c["t1"], c["t2"]])
     c = {k: v[order] for k, v in c.items()}
-    kind = _runs(c["t1"], c["t2"])
-    repeats = _in_runs(kind)
-    edge = np.zeros(len(kind), bool)
-    edge[[0, -1]] = True
-    keep = repeats | edge
+    repeats = _in_runs(_runs(c["t1"], c["t2"]))
+    inner = np.ones(len(repeats), bool)
+    inner[[0, -1]] = False
+    keep = repeats | ~inner
     yield pa.RecordBatch.from_arrays(
-        [*[pa.array(c[k][keep]) for k in ("t1", "t2", "k1", "k2", "start")], pa.array(repeats[keep]), pa.array(edge[keep])],
+        [
+            *[pa.array(c[k][keep], mask=inner[keep]) for k in ("t1", "t2")],
+            *[pa.array(c[k][keep]) for k in ("k1", "k2", "start")], pa.array(repeats[keep]),
+        ],
         names=[x.split()[0] for x in EDGED.split(", ")],
-    )
+    )
 
 
 def sorted_ranges(suffixes: DataFrame, rows: int, compare, schema: str) -> DataFrame:
     """Deal suffixes out by sampled splitters over tokens and place, then compare each range."""
     ranges = max(partitions(suffixes.sparkSession), rows // TASK_SUFFIXES + 1)
-    place = [c for c in ("t1", "t2", "t3", "k1", "k2", "start") if c in suffixes.columns]
-    return suffixes.repartitionByRange(ranges, *place).mapInArrow(compare, schema)
+    return suffixes.repartitionByRange(ranges, "t1", "t2", "k1", "k2", "start").mapInArrow(compare, schema)
 
 
 def repeated_spans(texts: DataFrame, length: int) -> DataFrame:
     """(k1, k2, start, n): windows start .. start + n - 1 of a text also start elsewhere.
 
-    ``texts`` has a row (k1, k2, text) per document; copies are rows of their own.
+    ``texts`` has a row (k1, k2, text, ...) per document, dealt out by k1 and k2;
+    copies are rows of their own. Further columns are left alone: with them the
+    exchange of the texts is the same here and in the caller, so it runs once.
     """
-    long_enough = texts.filter(F.octet_length("text") >= length)
-    sparse = stored(long_enough.mapInArrow(_sparse(length), SPARSE), "sparse")
-    spans = stored(sorted_ranges(sparse, sparse.count(), _compare_sparse, SPANS), "spans")
-    open_ = (
-        spans.filter("NOT sure").groupBy("k1", "k2").agg(F.collect_set(F.struct("start", "n")).alias("ranges"))
+    long_enough = texts.select("k1", "k2", "text").filter(F.octet_length("text") >= length)
+    size = texts.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    sparse = long_enough.mapInArrow(_sparse(length), SPARSE)
+    spans = stored(sorted_ranges(sparse, 6 * size // length, _compare_sparse, SPANS), "spans")
+    open_ = spans.filter("NOT sure").groupBy("k1", "k2").agg(F.collect_set(F.struct("start", "n")).alias("ranges"))
+    expected = spans.filter("NOT sure").agg(F.sum("n")).first()[0] or 0
+    windows = texts.join(open_, ["k1", "k2"]).mapInArrow(_window_suffixes(length), WINDOWS)
+    compared = sorted_ranges(windows, expected, _compare_windows, EDGED)
+    # rows at the edges, two per range at most, meet those with their tokens; all others stay by themselves
+    edge = F.col("t1").isNotNull()
+    meeting = Window.partitionBy(F.when(edge, F.col("t1")).otherwise(F.col("k1")), F.when(edge, F.col("t2")).otherwise(F.col("start")), edge)
+    again = compared.withColumn("met", F.count("*").over(meeting)).filter(F.col("repeats") | (edge & (F.col("met") > 1)))
+    return spans.filter("sure").select("k1", "k2", "start", "n").unionByName(
+        again.select("k1", "k2", "start", F.lit(1).alias("n"))
     )
-    windows = stored(
-        long_enough.join(open_, ["k1", "k2"]).select("k1", "k2", "text", "ranges").mapInArrow(_window_suffixes(length), WINDOWS),
-        "windows",
-    )
-    compared = stored(sorted_ranges(windows, windows.count(), _compare_windows, EDGED), "compared")
-    # across the edges: at most two rows per range
-    edges = compared.filter("edge")
-    meeting = edges.groupBy("t1", "t2").agg(F.count("*").alias("n")).filter("n > 1")
-    across = edges.join(meeting.select("t1", "t2"), ["t1", "t2"], "left_semi")
-    single = compared.filter("repeats").unionByName(across).select("k1", "k2", "start", F.lit(1).alias("n"))
-    return spans.filter("sure").select("k1", "k2", "start", "n").unionByName(single)
 
 
 def covered(spans: list[dict], length: int) -> list[tuple[int, int]]:
@@ -270,7 +269,7 @@ def covered(spans: list[dict], length: int) -> list[tuple[int, int]]:
 def _cut(length: int, with_text: bool):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            raw = batch.column("raw")
+            raw = batch.column("text").cast(pa.binary())
             size, removed, spans, digest, kept = [], [], [], [], []
             for i in range(batch.num_rows):
                 data = raw[i].as_py()
@@ -310,13 +309,11 @@ def remove_repeats(
         raise ValueError(f"length must be at least {2 * GRAM}")
     added = ["n_bytes", "n_removed", "removed_spans", "kept_sha256", "kept_text"]
     names = [c for c in (docs.columns if keep is None else keep) if c not in added]
-    spans = repeated_spans(docs.select(*text_key(text_of(text)), text_of(text).alias("text")), length)
-    by_text = spans.groupBy("k1", "k2").agg(F.collect_set(F.struct("start", "n")).alias("spans"))
     k1, k2 = text_key(text_of(text))
-    rows = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), k1, k2, text_of(text).cast("binary").alias("raw")
-    )
-    joined = rows.join(by_text, ["k1", "k2"], "left").select("row", "raw", "spans")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), k1, k2, text_of(text).alias("text"))
+    spans = repeated_spans(rows, length)
+    by_text = spans.groupBy("k1", "k2").agg(F.collect_set(F.struct("start", "n")).alias("spans"))
+    joined = rows.join(by_text, ["k1", "k2"], "left")
     schema = with_row(
         joined, n_bytes="long", n_removed="long", removed_spans="array<struct<start:bigint,stop:bigint>>",
         kept_sha256="string", kept_text="string",
