@@ -33,10 +33,11 @@ from stayline.llm.labelled import training_labels
 FIT_ROWS = 20_000
 #: Entries of the learned lexicon at most, the heaviest first.
 LEXICON = 5_000
-#: Toxic documents an entry must stand in.
+#: Different words that must precede an entry in toxic documents; copies of a document add none.
 SUPPORT = 5
-#: Lower bound of the log ratio an entry must reach.
-LEAST_WEIGHT = 2.0
+#: Lower bound of the log ratio an entry must reach: one that no clean document has, and any other.
+LEAST_WEIGHT = 2.2
+LEAST_WEIGHT_SEEN = 3.0
 STEMS = (3, 4, 5, 6)
 #: Word classes a task remembers before it starts anew.
 MEMO_LIMIT = 300_000
@@ -129,7 +130,9 @@ class Scanner:
         """Class and weight of a word; a learned word goes before a learned beginning."""
         if len(self.memo) > MEMO_LIMIT:
             self.memo.clear()
-        weight = self.words.get(word) or max((self.stems.get(word[:n], 0.0) for n in STEMS), default=0.0)
+        weight = self.words.get(word) or max(
+            (self.stems.get(word[:n], 0.0) for n in STEMS if n < len(word)), default=0.0
+        )
         if weight:
             found = INSULT, weight
         else:
@@ -175,23 +178,31 @@ class Model(NamedTuple):
     intercept: float
 
 
-def terms(text: str) -> set[str]:
-    """Words of a text and, with a star, their beginnings."""
-    words = {t for t in TOKEN.findall(text.lower()) if t[0].isalpha()}
-    return words | {w[:n] + "*" for w in words for n in STEMS if len(w) > n}
+def beginnings(word: str) -> list[str]:
+    """A word and, with a star, its proper beginnings."""
+    return [word, *(word[:n] + "*" for n in STEMS if n < len(word))]
 
 
 def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts: tuple[Counter, Counter] = Counter(), Counter()
+    """(term, before, clean): a row per term and preceding word of toxic documents, and counts of clean ones."""
+    clean: Counter = Counter()
+    toxic: set[tuple[str, str]] = set()
     for batch in batches:
         for text, label in zip(batch.column("text"), batch.column("label").to_pylist()):
-            counts[label].update(terms(text.as_py()))
-    toxic = [(t, n, counts[0][t]) for t, n in counts[1].items()]
-    clean = [(t, 0, n) for t, n in counts[0].items() if t not in counts[1]]
-    columns = list(zip(*(toxic + clean))) or [(), (), ()]
+            words = [t for t in TOKEN.findall(text.as_py().lower()) if t[0].isalpha()]
+            if label:
+                toxic |= {(term, before) for before, word in zip(["", *words], words) for term in beginnings(word)}
+            else:
+                clean.update({term for word in set(words) for term in beginnings(word)})
+    names = ["term", "before", "clean"]
+    found = list(toxic)
     yield pa.RecordBatch.from_arrays(
-        [pa.array(columns[0], pa.string()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.int64())],
-        names=["term", "toxic", "clean"],
+        [pa.array([t for t, _ in found], pa.string()), pa.array([w for _, w in found], pa.string()), pa.array([0] * len(found), pa.int64())],
+        names=names,
+    )
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(list(clean), pa.string()), pa.nulls(len(clean), pa.string()), pa.array(list(clean.values()), pa.int64())],
+        names=names,
     )
 
 
@@ -201,20 +212,31 @@ def learn_lexicon(train: DataFrame) -> dict[str, float]:
     if not (totals.get(0) and totals.get(1)):
         return {}
     counted = (
-        train.mapInArrow(_term_counts, "term string, toxic long, clean long")
+        train.mapInArrow(_term_counts, "term string, before string, clean long")
         .groupBy("term")
-        .agg(F.sum("toxic").alias("t"), F.sum("clean").alias("c"))
+        .agg(F.least(F.count_distinct("before"), F.lit(totals[1])).alias("t"), F.sum("clean").alias("c"))
     )
     ratio = F.log((F.col("t") + 0.5) / (totals[1] + 1)) - F.log((F.col("c") + 0.5) / (totals[0] + 1))
     doubt = 2 * F.sqrt(1 / (F.col("t") + 0.5) + 1 / (F.col("c") + 0.5))
     kept = (
         counted.filter(F.col("t") >= SUPPORT)
         .withColumn("weight", ratio - doubt)
-        .filter(F.col("weight") >= LEAST_WEIGHT)
+        .filter(F.col("weight") >= F.when(F.col("c") == 0, LEAST_WEIGHT).otherwise(LEAST_WEIGHT_SEEN))
         .orderBy(F.desc("weight"), "term")
         .limit(LEXICON)
     )
-    return {r["term"]: float(r["weight"]) for r in kept.collect()}
+    return without_needless_stems({r["term"]: (float(r["weight"]), r["t"]) for r in kept.collect()})
+
+
+def without_needless_stems(found: dict[str, tuple[float, int]]) -> dict[str, float]:
+    """Drop the beginnings that one longer entry accounts for: they would only catch words never seen."""
+    explained = set()
+    for term, (_, t) in found.items():
+        own = term.rstrip("*")
+        explained |= {stem for n in STEMS if n < len(own) and t >= 0.9 * found.get(stem := own[:n] + "*", (0, 1e18))[1]}
+        if not term.endswith("*"):
+            explained |= {stem for n in STEMS if n == len(own) and t >= 0.9 * found.get(stem := own + "*", (0, 1e18))[1]}
+    return {term: weight for term, (weight, _) in found.items() if term not in explained}
 
 
 def logistic(x: np.ndarray, y: np.ndarray, penalty: float = 0.01) -> tuple[list[float], float]:
