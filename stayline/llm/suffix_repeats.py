@@ -30,6 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -180,23 +181,48 @@ def _compare_sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             )
 
 
+#: Window suffixes sent on at a time.
+SENT = 200_000
+
+
+def _window_tokens(raw: np.ndarray, ranges: list[tuple[int, int]], length: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """(start, t1, t2) of the windows in the ranges (start, n) of one text, piece by piece."""
+    if len(raw) <= PIECE:
+        at = np.concatenate([np.arange(start, start + n) for start, n in ranges])
+        yield at, Rolled(raw).of(at, at + length), Rolled(raw, 1).of(at, at + length)
+        return
+    for start, n in ranges:
+        for lo in range(start, start + n, PIECE):
+            at = np.arange(min(PIECE, start + n - lo))
+            piece = raw[lo : lo + len(at) + length - 1]
+            yield lo + at, Rolled(piece).of(at, at + length), Rolled(piece, 1).of(at, at + length)
+
+
 def _window_suffixes(length: int):
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            raw, borders = column_bytes(batch.column("text"))
+            held: list[tuple[np.ndarray, ...]] = []
+            size = 0
+
+            def sent() -> pa.RecordBatch:
+                text, at, t1, t2 = (np.concatenate(x) for x in zip(*held))
+                held.clear()
+                return pa.RecordBatch.from_arrays(
+                    [_signed(t1), _signed(t2), *_keys(batch, text), pa.array(at.astype(np.int32))],
+                    names=[x.split()[0] for x in WINDOWS.split(", ")],
+                )
+
             for i in range(batch.num_rows):
-                raw, _ = column_bytes(batch.column("text").slice(i, 1))
-                key = batch.slice(i, 1)
                 ranges = sorted({(s["start"], s["n"]) for s in batch.column("ranges")[i].as_py()})
-                for start, n in ranges:
-                    for lo in range(start, start + n, PIECE):
-                        count = min(PIECE, start + n - lo)
-                        piece = raw[lo : lo + count + length - 1]
-                        at = np.arange(count)
-                        yield pa.RecordBatch.from_arrays(
-                            [_signed(Rolled(piece).of(at, at + length)), _signed(Rolled(piece, 1).of(at, at + length)),
-                             *_keys(key, np.zeros(count, np.int64)), pa.array((lo + at).astype(np.int32))],
-                            names=[x.split()[0] for x in WINDOWS.split(", ")],
-                        )
+                for at, t1, t2 in _window_tokens(raw[borders[i] : borders[i + 1]], ranges, length):
+                    held.append((np.full(len(at), i), at, t1, t2))
+                    size += len(at)
+                    if size >= SENT:
+                        yield sent()
+                        size = 0
+            if held:
+                yield sent()
 
     return emit
 
@@ -254,38 +280,41 @@ def repeated_spans(texts: DataFrame, length: int) -> DataFrame:
     )
 
 
-def covered(spans: list[dict], length: int) -> list[tuple[int, int]]:
-    """Maximal runs of bytes that the windows of the spans cover."""
-    out: list[list[int]] = []
-    for start, n in sorted((s["start"], s["n"]) for s in spans):
-        stop = start + n - 1 + length
-        if out and start <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], stop)
-        else:
-            out.append([start, stop])
-    return [tuple(x) for x in out]
+def covered(start: np.ndarray, n: np.ndarray, length: int) -> tuple[list[int], list[int]]:
+    """Starts and stops of the maximal runs of bytes that windows start .. start + n - 1 cover."""
+    if not len(start):
+        return [], []
+    order = np.argsort(start, kind="stable")
+    start, stop = start[order].astype(np.int64), (start + n - 1 + length)[order].astype(np.int64)
+    upto = np.maximum.accumulate(stop)
+    new = np.concatenate([[True], start[1:] > upto[:-1]])
+    return start[new].tolist(), upto[np.append(np.flatnonzero(new)[1:] - 1, len(upto) - 1)].tolist()
 
 
 def _cut(length: int, with_text: bool):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            raw = batch.column("text").cast(pa.binary())
-            size, removed, spans, digest, kept = [], [], [], [], []
+            raw, borders = column_bytes(batch.column("text"))
+            lists = batch.column("spans")
+            ends = np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy())
+            flat = lists.flatten()
+            starts, counts = (flat.field(c).to_numpy() for c in ("start", "n"))
+            removed, spans, digest, kept = [], [], [], []
             for i in range(batch.num_rows):
-                data = raw[i].as_py()
-                runs = covered(batch.column("spans")[i].as_py() or [], length)
-                left = b"".join(data[a:b] for a, b in zip([0, *[s[1] for s in runs]], [*[s[0] for s in runs], len(data)]))
-                size.append(len(data))
+                data = raw[borders[i] : borders[i + 1]].tobytes()
+                own = slice(ends[i - 1] if i else 0, ends[i])
+                first, last = covered(starts[own], counts[own], length)
+                left = b"".join(data[a:b] for a, b in zip([0, *last], [*first, len(data)])) if first else data
                 removed.append(len(data) - len(left))
-                spans.append([{"start": a, "stop": b} for a, b in runs])
+                spans.append([{"start": a, "stop": b} for a, b in zip(first, last)])
                 digest.append(hashlib.sha256(left).hexdigest())
                 # a character goes as a whole if any of its bytes goes
                 kept.append(left.decode("utf-8", "ignore") if with_text else None)
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("row"), pa.array(size, pa.int64()), pa.array(removed, pa.int64()),
+                    batch.column("row"), pa.array(np.diff(borders)), pa.array(removed, pa.int64()),
                     pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))),
-                    pa.array(digest), pa.array(kept, pa.string()),
+                    pa.array(digest, pa.string()), pa.array(kept, pa.string()),
                 ],
                 names=["row", "n_bytes", "n_removed", "removed_spans", "kept_sha256", "kept_text"],
             )
