@@ -22,7 +22,7 @@ BUREAU_AMOUNTS = " ".join(f"{c}_{m}" for c in contracts.BUREAU_COLUMNS for m in
 def sized_loans(spark, folder):
     raw = bindings.loans(spark, folder)
     sizes = contracts.measure_sizes(raw)
-    return plan.prepared_loans(raw, bindings.SEQUENCE, sizes=sizes), sizes
+    return plan.prepared_loans(raw, bindings.SEQUENCE), sizes
 
 
 def client_base(spark, folder):

@@ -126,7 +126,8 @@ def h06(spark, folder):
     doubles="c_index",
 )
 def r07(spark, folder):
-    return survival.concordance(spells(spark, folder), "days", "ended", "RANGPRO")
+    pairs = survival.concordance(spells(spark, folder), "days", "ended", "RANGPRO")
+    return pairs.withColumns({c: F.col(c).cast("long") for c in ("concordant", "discordant", "tied", "comparable")})
 
 
 @query("r08_survival_frame")

@@ -457,7 +457,7 @@ def d02(spark, folder):
     return missing.fill_numeric(bindings.bureau(spark, folder), -1.0).select("SEQ_EVENT", "MT_MENSAL", "COUNT_CL")
 
 
-def _fill_query(name: str, direction: str, sql_function: str, frame: str, limit: int):
+def _fill_query(name: str, direction: str, sql_function: str, frame: str):
     @query(
         name,
         f"""SELECT CONTRIB, DOSSIER, SEQ_LINE, SEQ_PART, OBS_DATE, {sql_function}(D1FIN IGNORE NULLS) OVER (
@@ -466,16 +466,16 @@ def _fill_query(name: str, direction: str, sql_function: str, frame: str, limit:
     )
     def fill(spark, folder):
         rows = missing.directional_fill(
-            bindings.loans(spark, folder), ["D1FIN"], ["CONTRIB"], ["OBS_DATE", *bindings.SEQUENCE, "DOSSIER"], direction, limit
+            bindings.loans(spark, folder), ["D1FIN"], ["CONTRIB"], ["OBS_DATE", *bindings.SEQUENCE, "DOSSIER"], direction
         )
         return rows.select("CONTRIB", "DOSSIER", "SEQ_LINE", "SEQ_PART", "OBS_DATE", "D1FIN")
 
 
-_fill_query("d03_forward_fill", "ffill", "last_value", "UNBOUNDED PRECEDING AND CURRENT ROW", missing.FILL_GROUP_LIMIT)
-_fill_query("d04_backward_fill", "bfill", "first_value", "CURRENT ROW AND UNBOUNDED FOLLOWING", missing.FILL_GROUP_LIMIT)
-# the way a group above the limit takes, forced by a low limit
-_fill_query("d03_forward_fill_pieces", "ffill", "last_value", "UNBOUNDED PRECEDING AND CURRENT ROW", 1)
-_fill_query("d04_backward_fill_pieces", "bfill", "first_value", "CURRENT ROW AND UNBOUNDED FOLLOWING", 1)
+_fill_query("d03_forward_fill", "ffill", "last_value", "UNBOUNDED PRECEDING AND CURRENT ROW")
+_fill_query("d04_backward_fill", "bfill", "first_value", "CURRENT ROW AND UNBOUNDED FOLLOWING")
+# the same within clients alone, whose groups are larger
+_fill_query("d03_forward_fill_pieces", "ffill", "last_value", "UNBOUNDED PRECEDING AND CURRENT ROW")
+_fill_query("d04_backward_fill_pieces", "bfill", "first_value", "CURRENT ROW AND UNBOUNDED FOLLOWING")
 
 
 @query("d05_drop_null_dates", "SELECT CONTRIB, DOSSIER, SEQ_LINE, SEQ_PART FROM loans_raw WHERE D1FIN IS NOT NULL")

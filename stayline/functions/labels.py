@@ -48,7 +48,6 @@ PROFESSION_DISPLAY = {
     35: "Teacher",
     40: "Public Directors",
     41: "Public Dept Heads",
-    56: "Other (56)",
     60: "Office Employees",
     70: "Public Employees",
     74: "Military/Police",
@@ -60,6 +59,7 @@ PROFESSION_DISPLAY = {
     92: "Unemployed",
     96: "Fixed-term Contract",
     99: "Indeterminate",
+    56: "Other (56)",
 }
 FAMILY_DISPLAY = {
     "C": "Married",

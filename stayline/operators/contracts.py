@@ -12,14 +12,38 @@ from stayline.functions.targets import ACTIVE_STATUS, END_STATUSES, churned, ear
 from stayline.operators.quantiles import aggregate_with_quantiles
 
 CONTRACT_KEYS = ["CONTRIB", "DOSSIER"]
-CONTRACT_LAST = "DPOS DCREAT DATFIN D1FIN CRD SREC RISK RISKA RESSO CSP NBENF".split()
-CONTRACT_MAX = "DURDEG RANGPRO RANGCLI MTFINO MTFIN RN RD".split()
-CLIENT_SUM = "MTFIN MTFINO MENSALIDADE CRD SREC RN RD".split()
-CLIENT_SPREAD = "DURDEG RANGPRO RANGCLI RESSO".split()
-BUREAU_COLUMNS = (
-    "MT_MENSAL COUNT_CL COUNT_AUTO COUNT_TOTAL MONTVENC_CL MONTVENC_CP MONTVENC_AUTO MONTVENC_HT "
-    "DIVIDAS_CL DIVIDAS_CP DIVIDAS_AUTO DIVIDAS_HT"
-).split()
+# ---- fixed values: column names of the data model ---------------------------
+CONTRACT_LAST = [
+    "DPOS",
+    "DCREAT",
+    "DATFIN",
+    "D1FIN",
+    "CRD",
+    "SREC",
+    "RISK",
+    "RISKA",
+    "RESSO",
+    "CSP",
+    "NBENF",
+]
+CONTRACT_MAX = ["DURDEG", "RANGPRO", "RANGCLI", "MTFINO", "MTFIN", "RN", "RD"]
+CLIENT_SUM = ["MTFIN", "MTFINO", "MENSALIDADE", "CRD", "SREC", "RN", "RD"]
+CLIENT_SPREAD = ["DURDEG", "RANGPRO", "RANGCLI", "RESSO"]
+BUREAU_COLUMNS = [
+    "MT_MENSAL",
+    "COUNT_CL",
+    "COUNT_AUTO",
+    "COUNT_TOTAL",
+    "MONTVENC_CL",
+    "MONTVENC_CP",
+    "MONTVENC_AUTO",
+    "MONTVENC_HT",
+    "DIVIDAS_CL",
+    "DIVIDAS_CP",
+    "DIVIDAS_AUTO",
+    "DIVIDAS_HT",
+]
+# ---- end of fixed values -----------------------------------------------------
 
 
 def last_filled(c: Column | str, *order: str) -> Column:

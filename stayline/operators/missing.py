@@ -2,17 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stayline.operators.clean import drop_sparse_rows
-from stayline.operators.quantiles import largest_group
+from stayline.session import materialise
 from stayline.sources.schema import columns_with_prefix, date_columns, numeric_columns, text_columns
 
 UNKNOWN = "Unknown"
-FILL_GROUP_LIMIT = 5_000_000
-FILL_PIECES = 500
 
 
 def fill_numeric(df: DataFrame, value: float = 0.0, columns: list[str] | None = None) -> DataFrame:
@@ -33,15 +30,14 @@ def directional_fill(
     partition_by: list[str],
     order_by: list[str],
     direction: str = "ffill",
-    group_limit: int = FILL_GROUP_LIMIT,
-    group_size: int | None = None,
 ) -> DataFrame:
     """Carry the nearest earlier (or later) non-null value over nulls.
 
-    The row order must be named: it follows ``order_by`` inside ``partition_by``.
-    A group above ``group_limit`` rows is cut into pieces along the first order
-    column; each piece is filled by itself and the value carried in comes from a
-    summary with one row per piece, so no task gets the whole group.
+    The row order must be named: it follows ``order_by`` inside ``partition_by``,
+    and a hash of the row where that leaves ties. Rows are dealt out by ranges of
+    key and order, so a large group is cut into pieces wherever its order columns
+    allow it, whatever their type. Each piece is filled by itself; what is carried
+    into it comes from a summary with one row per key and piece.
     """
     if not partition_by:
         raise ValueError("a directional fill needs a partition key")
@@ -51,38 +47,20 @@ def directional_fill(
         raise ValueError(f"unknown direction {direction!r}")
     if not columns:
         return df
-    size = largest_group(df, partition_by) if group_size is None else group_size
-    if size <= group_limit:
-        window = Window.partitionBy(*partition_by).orderBy(*order_by)
-        return df.withColumns({c: _carried(F.col(c), window, direction) for c in columns})
-    return _fill_in_pieces(df, columns, partition_by, order_by, direction)
-
-
-def _carried(c: Column, window, direction: str) -> Column:
-    if direction == "ffill":
-        return F.last(c, ignorenulls=True).over(window.rowsBetween(Window.unboundedPreceding, 0))
-    return F.first(c, ignorenulls=True).over(window.rowsBetween(0, Window.unboundedFollowing))
-
-
-def _fill_in_pieces(df, columns, partition_by, order_by, direction) -> DataFrame:
-    leading = order_by[0]
-    as_number = F.unix_timestamp(F.col(leading).cast("timestamp")) if leading in date_columns(df) else F.col(leading)
-    cuts = (
-        df.select(as_number.cast("double").alias("v"))
-        .agg(F.percentile_approx("v", [i / FILL_PIECES for i in range(1, FILL_PIECES)], 10_000))
-        .first()[0]
+    names = df.columns
+    pieces = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tied = df.withColumn("_tie", F.xxhash64(*[F.col(f"`{c}`") for c in names]))
+    order = [*order_by, "_tie"]
+    # the pieces must be the same for both uses below, so they are pinned
+    cut = materialise(
+        tied.repartitionByRange(pieces, *partition_by, *order).withColumn("_piece", F.spark_partition_id())
     )
-    edges = [float("-inf"), *sorted(set(cuts or [0.0])), float("inf")]
-    cutter = Bucketizer(splits=edges, inputCol="_position", outputCol="_piece", handleInvalid="keep")
-    pieces = cutter.transform(df.withColumn("_position", as_number.cast("double")))
-    pieces = pieces.withColumn("_piece", F.when(F.col("_position").isNull(), -1.0).otherwise(F.col("_piece")))
-    inner = Window.partitionBy(*partition_by, "_piece").orderBy(*order_by)
-    filled = pieces.withColumns({c: _carried(F.col(c), inner, direction) for c in columns})
-
-    ordered = F.struct(*order_by)
+    inner = Window.partitionBy(*partition_by, "_piece").orderBy(*order)
+    filled = cut.withColumns({c: _carried(F.col(c), inner, direction) for c in columns})
     edge = F.max_by if direction == "ffill" else F.min_by
-    summary = pieces.groupBy(*partition_by, "_piece").agg(
-        *[edge(c, F.when(F.col(c).isNotNull(), ordered)).alias(f"_edge_{c}") for c in columns]
+    summary = cut.groupBy(*partition_by, "_piece").agg(
+        F.count("*").alias("_rows"),
+        *[edge(c, F.when(F.col(c).isNotNull(), F.struct(*order))).alias(f"_edge_{c}") for c in columns],
     )
     outer = Window.partitionBy(*partition_by).orderBy("_piece")
     if direction == "ffill":
@@ -91,19 +69,29 @@ def _fill_in_pieces(df, columns, partition_by, order_by, direction) -> DataFrame
     else:
         frame = outer.rowsBetween(1, Window.unboundedFollowing)
         carry = lambda c: F.first(c, ignorenulls=True).over(frame)
-    carried = summary.select(
-        *partition_by, "_piece", *[carry(f"_edge_{c}").alias(f"_carry_{c}") for c in columns]
-    )
+    carried = summary.withColumns({f"_carry_{c}": carry(f"_edge_{c}") for c in columns})
+    # only groups that are cut have anything to carry: at most one per border of two pieces
+    carried = carried.filter(_any_filled(columns))
     same = [F.col(f"f.{k}").eqNullSafe(F.col(f"s.{k}")) for k in [*partition_by, "_piece"]]
     joined = filled.alias("f").join(carried.alias("s"), same, "left")
     return joined.select(
         *[
             F.coalesce(F.col(f"f.{c}"), F.col(f"s._carry_{c}")).alias(c) if c in columns else F.col(f"f.{c}")
-            for c in df.columns
+            for c in names
         ]
     )
 
 
+def _any_filled(columns: list[str]) -> Column:
+    return F.coalesce(*[F.when(F.col(f"_carry_{c}").isNotNull(), True) for c in columns], F.lit(False))
+
+
+def _carried(c: Column, window, direction: str) -> Column:
+    if direction == "ffill":
+        return F.last(c, ignorenulls=True).over(window.rowsBetween(Window.unboundedPreceding, 0))
+    return F.first(c, ignorenulls=True).over(window.rowsBetween(0, Window.unboundedFollowing))
+
+
 def handle_missing(
     df: DataFrame,
     partition_by: list[str],
@@ -113,7 +101,6 @@ def handle_missing(
     max_missing: float = 0.5,
     exclude: tuple[str, ...] = (),
     date_fill_columns: list[str] | None = None,
-    group_size: int | None = None,
 ) -> DataFrame:
     """Drop sparse rows, then fill by type.
 
@@ -129,7 +116,7 @@ def handle_missing(
         targets = [c for c in date_columns(out) if c not in order_by]
     if dates == "drop":
         return out.na.drop(subset=targets) if targets else out
-    return directional_fill(out, targets, partition_by, order_by, dates, group_size=group_size)
+    return directional_fill(out, targets, partition_by, order_by, dates)
 
 
 def missing_report(before: DataFrame, after: DataFrame) -> DataFrame:

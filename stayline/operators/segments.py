@@ -19,16 +19,30 @@ from stayline.sources.schema import present
 
 # ---- fixed values: clustering columns per perspective -----------------------
 PERSPECTIVES = {
-    "P1_Financial": "N_CONTRACTS TOTAL_MTFINO TOTAL_MENSALIDADE MEDIAN_DURDEG".split(),
-    "P2_Risk": (
-        "MAX_RANGPRO MAX_RANGCLI MAX_RISKA ALLBD_IDADE_MEAN__N COUNT_CL_MEDIAN COUNT_AUTO_MEDIAN "
-        "COUNT_TOTAL_MEDIAN DIVIDAS_TOTAL_MEDIAN MONTVENC_TOTAL_LOG RISK_EVER RISK_RECENT"
-    ).split(),
-    "P3_History": "CLIENT_SENIORITY_YEARS YEARS_SINCE_LAST_CONTRACT ALLBD_N_Dossiers__N".split(),
+    "P1_Financial": ["N_CONTRACTS", "TOTAL_MTFINO", "TOTAL_MENSALIDADE", "MEDIAN_DURDEG"],
+    "P2_Risk": [
+        "MAX_RANGPRO",
+        "MAX_RANGCLI",
+        "MAX_RISKA",
+        "ALLBD_IDADE_MEAN__N",
+        "COUNT_CL_MEDIAN",
+        "COUNT_AUTO_MEDIAN",
+        "COUNT_TOTAL_MEDIAN",
+        "DIVIDAS_TOTAL_MEDIAN",
+        "MONTVENC_TOTAL_LOG",
+        "RISK_EVER",
+        "RISK_RECENT",
+    ],
+    "P3_History": ["CLIENT_SENIORITY_YEARS", "YEARS_SINCE_LAST_CONTRACT", "ALLBD_N_Dossiers__N"],
 }
-CONTINUOUS_PROFILE = (
-    "sdem_age NBENF MEDIAN_RESSO ALLBD_IDADE_MEAN__N RISK_TOTAL EXTERNAL_TO_OWN"
-).split()
+CONTINUOUS_PROFILE = [
+    "sdem_age",
+    "NBENF",
+    "MEDIAN_RESSO",
+    "ALLBD_IDADE_MEAN__N",
+    "RISK_TOTAL",
+    "EXTERNAL_TO_OWN",
+]
 # -----------------------------------------------------------------------------
 SEGMENT = "segment_final"
 

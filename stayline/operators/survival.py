@@ -338,6 +338,11 @@ def _ordered_bits(score: pd.Series) -> pd.Series:
     return pd.Series(np.where(bits < 0, np.int64(-(2**63)) - bits - 1, bits))
 
 
+def _pairs(a: Column, b: Column) -> Column:
+    """Product of two counts; pairs of ten billion rows do not fit a long."""
+    return (a.cast("decimal(18,0)") * b.cast("decimal(19,0)")).cast("decimal(38,0)")
+
+
 def concordance(df: DataFrame, duration: str, event: str, risk: str) -> DataFrame:
     """Exact concordant, discordant and tied pairs and the concordance index.
 
@@ -385,7 +390,7 @@ def concordance(df: DataFrame, duration: str, event: str, risk: str) -> DataFram
     )
     lower = [sum((F.col(f"l{j}") for j in range(k)), F.lit(0)) for k in range(RADIX)]
     higher = [sum((F.col(f"l{j}") for j in range(k + 1, RADIX)), F.lit(0)) for k in range(RADIX)]
-    product = lambda sides: sum((F.col(f"e{k}") * sides[k] for k in range(RADIX)), F.lit(0))
+    product = lambda sides: sum((_pairs(F.col(f"e{k}"), sides[k]) for k in range(RADIX)), F.lit(0))
     ordered = outlived.agg(
         F.coalesce(F.sum(product(lower)), F.lit(0)).alias("concordant"),
         F.coalesce(F.sum(product(higher)), F.lit(0)).alias("discordant"),
@@ -393,7 +398,7 @@ def concordance(df: DataFrame, duration: str, event: str, risk: str) -> DataFram
     days = rows.groupBy("t").agg(F.sum("e").alias("e"), F.sum("m").alias("m"))
     later = Window.partitionBy(F.lit(1)).orderBy(F.desc("t")).rowsBetween(Window.unboundedPreceding, -1)
     comparable = days.select(
-        (F.col("e") * (F.coalesce(F.sum("m").over(later), F.lit(0)) + F.col("m") - F.col("e"))).alias("c")
+        _pairs(F.col("e"), F.coalesce(F.sum("m").over(later), F.lit(0)) + F.col("m") - F.col("e")).alias("c")
     ).agg(F.coalesce(F.sum("c"), F.lit(0)).alias("comparable"))
     tied = F.col("comparable") - F.col("concordant") - F.col("discordant")
     return ordered.join(comparable).select(
@@ -401,5 +406,5 @@ def concordance(df: DataFrame, duration: str, event: str, risk: str) -> DataFram
         "discordant",
         tied.alias("tied"),
         "comparable",
-        F.try_divide(F.col("concordant") + tied / 2, F.col("comparable").cast("double")).alias("c_index"),
+        F.try_divide(F.col("concordant").cast("double") + tied.cast("double") / 2, F.col("comparable").cast("double")).alias("c_index"),
     )

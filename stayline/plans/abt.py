@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -11,34 +12,45 @@ from stayline.plans import bindings
 from stayline.session import shared_dir
 from stayline.sources.files import save_and_verify
 
+# ---- fixed values: column names of the data model ---------------------------
 SCORE_COLUMNS = ["CONTRIB", "sys_data_procura", "kp_sqe_enc", "ks_score_tier"]
-FAMA_COLUMNS = (
-    "CONTRIB ALLBD_N_Dossiers__N ALLBD_A_CL__N ALLBD_A_CP__N ALLBD_IDADE_MEAN__N "
-    "ALLBD_N_events__N sdem_SITFAM sdem_HABITAT sdem_age"
-).split()
+FAMA_COLUMNS = [
+    "CONTRIB",
+    "ALLBD_N_Dossiers__N",
+    "ALLBD_A_CL__N",
+    "ALLBD_A_CP__N",
+    "ALLBD_IDADE_MEAN__N",
+    "ALLBD_N_events__N",
+    "sdem_SITFAM",
+    "sdem_HABITAT",
+    "sdem_age",
+]
 COVERAGE = {
     "crc": ["MT_MENSAL_MAX", "COUNT_TOTAL_MAX", "DIVIDAS_CL_MAX"],
     "credscore": ["kp_sqe_enc", "ks_score_tier"],
     "fama": ["ALLBD_N_Dossiers__N", "sdem_age"],
 }
+# ---- end of fixed values -----------------------------------------------------
 
 
 def prepared_loans(
     loans: DataFrame,
     sequence: list[str],
     exclude: tuple[str, ...] = (),
-    sizes: contracts.Sizes | None = None,
 ) -> DataFrame:
-    """Cleaned, filled and deduplicated observations."""
+    """Cleaned, filled and deduplicated observations.
+
+    Rows without a client or contract belong to nobody and are left out; keys are
+    never filled. Every date column but the observation date is carried forward.
+    """
+    loans = loans.na.drop(subset=contracts.CONTRACT_KEYS)
     needed = set(loans.columns) - {"TYPEPROD", "MENSALIDADE_CORR", "PTT", "DCSP"}
     rows = clean.clean_loans(loans, protect=needed)
     rows = missing.handle_missing(
         rows,
         contracts.CONTRACT_KEYS,
         ["OBS_DATE", *sequence],
-        exclude=exclude,
-        date_fill_columns=["D1FIN"],
-        group_size=sizes.rows_per_contract if sizes else None,
+        exclude=(*contracts.CONTRACT_KEYS, *exclude),
     )
     return dedupe.handle_duplicates(rows, [*contracts.CONTRACT_KEYS, "OBS_DATE"], sequence)
 
@@ -105,7 +117,7 @@ def prepared_tables(spark: SparkSession, folder: str) -> dict:
     sizes = contracts.measure_sizes(loans)
     return {
         "sizes": sizes,
-        "loans": prepared_loans(loans, bindings.SEQUENCE, sizes=sizes),
+        "loans": prepared_loans(loans, bindings.SEQUENCE),
         "bureau": prepared_bureau(bindings.bureau(spark, folder), ["SEQ_EVENT"]),
         "scores": prepared_scores(bindings.scores(spark, folder)),
         "clients": prepared_clients(bindings.client_aggregates(spark, folder)),
@@ -122,16 +134,27 @@ def stored_abt(spark: SparkSession, folder: str) -> DataFrame:
     Models, segments and reports all start from it; writing it to the shared
     folder means a lost executor re-reads a file instead of redoing the build.
     """
-    name = f"abt-{spark.sparkContext.applicationId}-{abs(hash(os.path.abspath(folder)))}.parquet"
-    path = os.path.join(shared_dir(spark), name)
-    known = _STORED.get((spark.sparkContext.applicationId, folder))
+    version = (spark.sparkContext.applicationId, folder, source_version(spark, folder))
+    known = _STORED.get(version)
     if known is None:
-        save_and_verify(build_abt(spark, folder), path)
-        _STORED[spark.sparkContext.applicationId, folder] = known = path
+        known = os.path.join(shared_dir(spark), f"abt-{uuid.uuid4().hex}.parquet")
+        save_and_verify(build_abt(spark, folder), known)
+        _STORED[version] = known
     return spark.read.parquet(known)
 
 
-_STORED: dict[tuple[str, str], str] = {}
+def source_version(spark: SparkSession, folder: str) -> tuple:
+    """Name, size and time of change of the source tables' files: a changed input is another version."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(path, True)
+    found = []
+    while files.hasNext():
+        status = files.next()
+        found.append((status.getPath().toString(), status.getLen(), status.getModificationTime()))
+    return tuple(sorted(found))
+
+
+_STORED: dict[tuple, str] = {}
 
 
 def merge_loan_level(

@@ -14,10 +14,20 @@ from stayline.operators.clean import in_set, text_contains
 from stayline.sources.schema import present
 
 PAGE_SIZE = 50
-DETAILS = (
-    "PRODALP sdem_age N_CONTRACTS TOTAL_MTFINO TOTAL_MENSALIDADE MEDIAN_DURDEG MEDIAN_RESSO NBENF "
-    "ALLBD_N_Dossiers__N COUNT_TOTAL_MEDIAN"
-).split()
+# ---- fixed values: column names of the data model ---------------------------
+DETAILS = [
+    "PRODALP",
+    "sdem_age",
+    "N_CONTRACTS",
+    "TOTAL_MTFINO",
+    "TOTAL_MENSALIDADE",
+    "MEDIAN_DURDEG",
+    "MEDIAN_RESSO",
+    "NBENF",
+    "ALLBD_N_Dossiers__N",
+    "COUNT_TOTAL_MEDIAN",
+]
+# ---- end of fixed values -----------------------------------------------------
 SORTS = {
     "revenue": ("REVENUE_AT_RISK", False),
     "settlement": ("P_SAN", False),

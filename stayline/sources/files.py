@@ -6,7 +6,7 @@ import os
 from dataclasses import dataclass, field
 from pathlib import PurePosixPath
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -119,9 +119,13 @@ def parquet_to_csv(spark: SparkSession, source: str, target: str) -> None:
 
 
 def save_and_verify(df: DataFrame, path: str, mode: str = "errorifexists") -> DataFrame:
-    """Write, read back and compare rows and columns; returns the table as read."""
-    rows = df.count()
-    save(df, path, mode)
+    """Write, read back and compare rows and columns; returns the table as read.
+
+    Rows are counted while they are written, so the table is built once.
+    """
+    written = Observation()
+    save(df.observe(written, F.count(F.lit(1)).alias("rows")), path, mode)
+    rows = written.get["rows"]
     back = load(df.sparkSession, path, df.schema if format_of(path) == "csv" else None)
     found = back.count()
     if found != rows or back.columns != df.columns:

@@ -73,7 +73,7 @@ def test_concordance_matches_all_pairs(spark):
                 bad += risk[i] < risk[j]
                 same += risk[i] == risk[j]
     row = survival.concordance(df, "t", "e", "risk").first()
-    assert (row["concordant"], row["discordant"], row["tied"]) == (good, bad, same)
+    assert tuple(int(row[c]) for c in ("concordant", "discordant", "tied")) == (good, bad, same)
 
 
 def test_kaplan_meier_with_ties_and_a_final_event(spark):
@@ -191,6 +191,21 @@ def test_oversampling_balances_and_stays_in_the_hull(spark):
     assert all(0 <= v[0] <= 11 and 0 <= v[1] <= 4 for v in minority)
 
 
+def test_oversampling_takes_text_ids(spark):
+    rows = [(f"C{i}", float(i < 12), Vectors.dense([float(i), float(i % 5)])) for i in range(41)]
+    df = spark.createDataFrame(rows, ["id", "label", "features"])
+    assert oversample(df, k=3).filter("label = 1").count() == 29
+    with pytest.raises(ValueError, match="unique"):
+        oversample(df.union(df.filter("label = 1").limit(1)), k=3)
+
+
+def test_concordance_counts_more_pairs_than_a_long_holds(spark):
+    from stayline.operators import survival
+
+    product = spark.range(1).select(survival._pairs(F.lit(10**10), F.lit(10**10)).alias("p")).first()["p"]
+    assert product == 10**20
+
+
 def test_evidence_ridge_recovers_weights():
     rng = np.random.default_rng(2)
     x = rng.normal(size=(500, 3))

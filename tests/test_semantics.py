@@ -130,15 +130,32 @@ def test_unique_key_guard(spark):
         dedupe.require_unique(spark.createDataFrame([(1,), (1,)], "k int"), ["k"])
 
 
-def test_fill_needs_an_order_and_both_ways_agree(spark):
-    rows = [(k, i, None if (i * 7 + k) % 3 else i) for k in range(4) for i in range(60)] + [(0, None, 5)]
-    df = spark.createDataFrame(rows, "k int, t int, v int")
-    with pytest.raises(ValueError):
-        missing.directional_fill(df, ["v"], [], ["t"])
-    for direction in ("ffill", "bfill"):
-        plain = missing.directional_fill(df, ["v"], ["k"], ["t"], direction)
-        cut = missing.directional_fill(df, ["v"], ["k"], ["t"], direction, group_limit=1)
-        assert sorted(map(str, plain.collect())) == sorted(map(str, cut.collect()))
+def test_fill_needs_an_order(spark):
+    df = spark.createDataFrame([(1, 1, 1)], "k int, t int, v int")
+    for keys, order in (([], ["t"]), (["k"], [])):
+        with pytest.raises(ValueError):
+            missing.directional_fill(df, ["v"], keys, order)
+
+
+@pytest.mark.parametrize("kind", ["int", "string", "decimal(12,3)", "date", "double"])
+def test_fill_follows_the_order_of_its_own_type(spark, kind):
+    """One key has most rows, so it is cut into pieces; text sorts as text, ties by the row."""
+    rows = [(0 if i % 10 else i, i, None if (i * 7) % 5 else i, None if i % 3 else f"w{i}") for i in range(400)]
+    rows += [(None, 3, None, "n"), (None, 4, 5, None), (0, None, -1, None), (0, None, None, "tie")]
+    df = spark.createDataFrame(rows, "k int, n int, v int, w string")
+    order = {"int": "n", "string": "'x' || n", "date": "date_add(date'2020-01-01', n)"}.get(kind, f"CAST(n AS {kind})")
+    df = df.withColumn("t", F.expr(order)).repartition(7)
+    for direction, pick in (("ffill", lambda vs: vs[-1:]), ("bfill", lambda vs: vs[:1])):
+        got = missing.directional_fill(df, ["v", "w"], ["k"], ["t"], direction)
+        tie = F.xxhash64(*df.columns)
+        ranked = df.withColumn("h", tie).orderBy(F.asc_nulls_first("t"), "h").collect()
+        expected = []
+        for i, r in enumerate(ranked):
+            side = ranked[: i + 1] if direction == "ffill" else ranked[i:]
+            near = {c: [x[c] for x in side if x["k"] == r["k"] and x[c] is not None] for c in ("v", "w")}
+            expected.append((r["k"], r["n"], *((pick(near[c]) or [None])[0] for c in ("v", "w")), r["t"]))
+        assert got.columns == df.columns
+        assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, expected))
 
 
 def test_completeness_guard_names_columns(spark):
