@@ -16,7 +16,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stayline.llm.common import lower_ascii, packed, text_key, text_of, unpacked
+from stayline.llm.common import lower_ascii, packed, stored, text_key, text_of, unpacked
 
 GRAM = 3
 #: Between words stand ASCII characters other than letters and digits.
@@ -142,8 +142,10 @@ def scan_licenses(docs: DataFrame, text: str = "text", templates: list[Template]
     found = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "spans"]
     labels = lambda keep: F.array_join(F.array_sort(F.collect_set(F.when(keep, F.col("label")))), ",")
     full = F.col("coverage") >= COVERAGE
-    by_text = (
-        verified_spans(diagonal_votes(docs, text, templates))
+    # votes and findings are stored: the texts are read once, and the join below stands between two
+    # plain exchanges, which lets Spark split a text that a great many documents share
+    by_text = stored(
+        verified_spans(stored(diagonal_votes(docs, text, templates), "votes"))
         .groupBy("k1", "k2")
         .agg(
             F.count(F.when(F.col("exact"), 1)).alias("n_base"),
@@ -153,7 +155,8 @@ def scan_licenses(docs: DataFrame, text: str = "text", templates: list[Template]
             labels(full).alias("labels"),
             F.max("coverage").alias("score"),
             F.array_sort(F.collect_set(F.when(full, F.struct("label", "start", "stop", "coverage")))).alias("spans"),
-        )
+        ),
+        "licenses",
     )
     k1, k2 = text_key(text_of(text))
     rows = packed(

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayline.llm.common import new_folder, packed, text_of, unpacked
+from stayline.llm.common import new_folder, packed, stored, text_of, unpacked
 
 CACHE_SCHEMA = "content binary, tokenizer string, n_tokens long"
 
@@ -184,4 +184,6 @@ def token_counts(docs: DataFrame, path: str, cache: str | None = None, text: str
     add_misses(docs, folder, path, text)
     kept = docs.drop("n_tokens")
     rows = packed(kept, content=content_digest(text_of(text)))
-    return unpacked(rows.join(read_cache(spark, folder, tokenizer_version(path)), "content", "left"), F.col("n_tokens"))
+    # a stored side leaves the join between two plain exchanges, so Spark can split a hot text
+    counts = stored(read_cache(spark, folder, tokenizer_version(path)), "counts")
+    return unpacked(rows.join(counts, "content", "left"), F.col("n_tokens"))
