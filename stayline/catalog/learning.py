@@ -8,6 +8,7 @@ from stayline.catalog.base import query
 from stayline.plans import bindings
 from stayline.plans import modelling as m
 from stayline.plans.abt import stored_abt
+from stayline.session import materialise
 
 QUICK = {"trees": 5, "forestDepth": 4, "rfeStep": 0.5, "lassoMaxIter": 30, "rfeMaxIter": 30}
 FOREST = m.Setting("forest", {"trees": 20, "depth": 6})
@@ -131,7 +132,7 @@ def p07(spark, folder):
 @query("p08_evaluation_report")
 def p08(spark, folder):
     train, test = m.train_and_test(stored_abt(spark, folder), "IS_CHURN")
-    scored = m.fit_scorer(train, LOGISTIC, QUICK).score(test).persist()
+    scored = materialise(m.fit_scorer(train, LOGISTIC, QUICK).score(test))
     return m.classification_report(scored).withColumn("auc", F.lit(m.auc(scored)))
 
 

@@ -12,6 +12,8 @@ from stayline.operators.profile import columns_missing
 from stayline.sources.files import parse_dates
 from stayline.sources.schema import columns_with_prefix, present
 
+#: Values per column that the heavy-hitter sketch reports at most.
+CANDIDATES = 4
 NEAR_CONSTANT_SHARE = 0.98
 LOAN_DATES = ("OBS_DATE", "DCREAT", "DATFIN", "D1FIN", "DPOS", "DCSP")
 ZERO_MEANS_NONE = ("COUNT_", "MONTVENC_", "MONTABATV_", "DIVIDAS_")
@@ -85,8 +87,9 @@ def dominant_values(df: DataFrame, columns: list[str] | None = None, floor: floa
 
     A value with a share of one half or more is always among the candidates of
     the heavy-hitter sketch, whose counts are never too low. Where the candidates
-    account for every filled row the counts are exact already; only for other
-    columns with a promising candidate a second pass counts it. No column is
+    are fewer than the sketch reports at most and account for every filled row,
+    the counts are exact already; only for other columns with a promising candidate
+    a second pass counts it. No column is
     spread over the cluster by value. Columns without such a value read 0 rows.
     """
     if floor < 0.5:
@@ -96,7 +99,7 @@ def dominant_values(df: DataFrame, columns: list[str] | None = None, floor: floa
     found = df.agg(
         F.count("*").alias("rows"),
         *[F.count(c).alias(f"filled__{c}") for c in columns],
-        *[F.call_function("approx_top_k", t, F.lit(4), F.lit(1024)).alias(f"top__{c}") for c, t in texts.items()],
+        *[F.call_function("approx_top_k", t, F.lit(CANDIDATES), F.lit(1024)).alias(f"top__{c}") for c, t in texts.items()],
     ).first()
     filled = {c: found[f"filled__{c}"] for c in columns}
     candidates = {
@@ -105,7 +108,7 @@ def dominant_values(df: DataFrame, columns: list[str] | None = None, floor: floa
     open_columns = [
         c
         for c, items in candidates.items()
-        if items and sum(items.values()) != filled[c] and max(items.values()) >= floor * filled[c]
+        if (len(items) == CANDIDATES or sum(items.values()) != filled[c]) and max(items.values(), default=0) >= floor * filled[c] > 0
     ]
     if open_columns:
         counted = df.agg(

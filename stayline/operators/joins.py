@@ -39,9 +39,10 @@ def attach_columns(base: DataFrame, other: DataFrame, key: str, columns: list[st
 
 
 def same_row_count(before: DataFrame, after: DataFrame) -> DataFrame:
-    left = before.agg(F.count("*").alias("base_rows"))
-    right = after.agg(F.count("*").alias("joined_rows"))
-    return left.join(right).withColumn("preserved", (F.col("base_rows") == F.col("joined_rows")).cast("int"))
+    left = before.agg(F.count("*").alias("base_rows"), F.lit(0).cast("long").alias("joined_rows"))
+    right = after.agg(F.lit(0).cast("long").alias("base_rows"), F.count("*").alias("joined_rows"))
+    counts = left.unionByName(right).agg(*[F.max(c).alias(c) for c in ("base_rows", "joined_rows")])
+    return counts.withColumn("preserved", (F.col("base_rows") == F.col("joined_rows")).cast("int"))
 
 
 def coverage(df: DataFrame, sources: dict[str, list[str]]) -> DataFrame:

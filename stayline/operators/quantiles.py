@@ -151,7 +151,8 @@ def _narrow(
     at = [*keys, group]
     cuts = [i / SPLITS for i in range(1, SPLITS)]
     splits = rows.groupBy(*at).agg(F.percentile_approx("_v", cuts, SPLIT_ACCURACY).alias("_cuts"))
-    bucketed = rows.join(splits, at).select(*at, "_v", _bucket(0, SPLITS - 1).alias("_b"))
+    # one row per large group and column or quantile: groups above the limit are few
+    bucketed = rows.join(F.broadcast(splits), at).select(*at, "_v", _bucket(0, SPLITS - 1).alias("_b"))
     counted = bucketed.groupBy(*at, "_b").agg(F.count("*").alias("_w"))
     running = Window.partitionBy(*at).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
     counted = counted.withColumn("_upto", F.sum("_w").over(running)).withColumn(

@@ -401,7 +401,11 @@ def concordance(df: DataFrame, duration: str, event: str, risk: str) -> DataFram
         _pairs(F.col("e"), F.coalesce(F.sum("m").over(later), F.lit(0)) + F.col("m") - F.col("e")).alias("c")
     ).agg(F.coalesce(F.sum("c"), F.lit(0)).alias("comparable"))
     tied = F.col("comparable") - F.col("concordant") - F.col("discordant")
-    return ordered.join(comparable).select(
+    none = F.lit(0).cast("decimal(38,0)")
+    sums = ordered.withColumn("comparable", none).unionByName(
+        comparable.select(none.alias("concordant"), none.alias("discordant"), "comparable")
+    )
+    return sums.agg(*[F.max(F.col(c).cast("decimal(38,0)")).alias(c) for c in sums.columns]).select(
         "concordant",
         "discordant",
         tied.alias("tied"),
