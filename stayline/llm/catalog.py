@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayline.llm import cube_mixing, decontaminate, labelled, licenses, quality_gam, quality_rules, simhash_ball, suffix_repeats, token_cache, toxicity, warc
+from stayline.llm import cube_mixing, decontaminate, labelled, licenses, quality_gam, quality_rules, simhash_ball, statements, suffix_repeats, token_cache, toxicity, warc
 from stayline.llm.common import table, text_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -118,5 +118,7 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(spark, folder)
 
 
+ORACLES["op2_license_scans"] = statements.LICENSES
+ORACLES["op8_decontamination"] = statements.CONTAINED
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
