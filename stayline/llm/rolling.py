@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes hashed at a time.
-PIECE = 1 << 20
+PIECE = 1 << 18
 
 
 def column_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

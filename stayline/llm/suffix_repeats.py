@@ -41,7 +41,7 @@ LENGTH = 400
 #: Bytes whose hash decides where anchors are.
 GRAM = 12
 #: Suffixes sorted in one task.
-TASK_SUFFIXES = 1_000_000
+TASK_SUFFIXES = 500_000
 
 SPARSE = "t1 long, t2 long, k1 long, k2 long, start int, n int"
 WINDOWS = "t1 long, t2 long, k1 long, k2 long, start int"
