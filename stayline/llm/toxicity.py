@@ -6,7 +6,8 @@ Each keeps a state and a weight factor; :func:`compose` builds their product,
 whose transitions are one table lookup per word. A clause is worth what the
 composed transducer emits for its matches: an insult counts more beside a
 target and less under negation or in reported speech, a threat counts only with
-a target. A document's score is a logistic function of its clause weights.
+a target. What a match is worth with a target only is held for a few words where
+no target precedes, and emitted if one follows in the clause. A document's score is a logistic function of its clause weights.
 
 Insults are learned from labelled rows: words and word beginnings that stand in
 toxic documents far more often than elsewhere, with a weight from the lower
@@ -103,10 +104,14 @@ def compose(parts: list[Transducer]) -> Transducer:
     return Transducer(step)
 
 
-def grammar() -> Transducer:
+#: A match and its target, in either order, are at most so many words apart.
+REACH = 4
+
+
+def _around(target: Transducer) -> Transducer:
     return compose(
         [
-            countdown(TARGET, 4, {INSULT: 1.5, THREAT: 1.0}, {THREAT: 0.0}),
+            target,
             countdown(NEGATION, 2, {INSULT: 0.6, THREAT: 0.2}, {}),
             countdown(REPORT, 6, {INSULT: 0.7, THREAT: 0.4}, {}),
             quotation(),
@@ -114,6 +119,16 @@ def grammar() -> Transducer:
     )
 
 
+def grammar() -> Transducer:
+    """What a match is worth at once."""
+    return _around(countdown(TARGET, REACH, {INSULT: 1.5, THREAT: 1.0}, {THREAT: 0.0}))
+
+
+def held_grammar() -> Transducer:
+    """What a match without a target before it is worth more if one follows; its states are those of :func:`grammar`."""
+    return _around(countdown(TARGET, REACH, {INSULT: 0.0, THREAT: 0.0}, {INSULT: 0.5, THREAT: 1.0}))
+
+
 class Scanner:
     """Reads texts clause by clause."""
 
@@ -121,6 +136,7 @@ class Scanner:
         self.words = {k: v for k, v in lexicon.items() if not k.endswith("*")}
         self.stems = {k[:-1]: v for k, v in lexicon.items() if k.endswith("*")}
         self.step = grammar().step
+        self.held = held_grammar().step
         self.fixed = {w: QUOTE for w in QUOTES}
         for words, kind in ((REPORTS, REPORT), (TARGETS, TARGET), (NEGATIONS, NEGATION), (THREATS, THREAT)):
             self.fixed |= dict.fromkeys(words.split(), kind)
@@ -161,7 +177,14 @@ class Scanner:
 
     def clause(self, kinds: list[tuple[int, float]]) -> float:
         state, total = 0, 0.0
-        for c, weight in kinds:
+        waiting: list[tuple[int, float]] = []
+        for place, (c, weight) in enumerate(kinds):
+            if c == TARGET and waiting:
+                total += sum(more for since, more in waiting if place - since <= REACH)
+                waiting.clear()
+            more = weight * self.held[state][c][1] if weight else 0.0
+            if more:
+                waiting.append((place, more))
             state, factor = self.step[state][c]
             total += weight * factor
         return total

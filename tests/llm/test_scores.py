@@ -96,3 +96,14 @@ def test_trees_pick_the_best_cuts():
     g = np.array([-5.0, -5.0, 5.0, 5.0, -5.0])
     tree = quality_gam._tree(g, np.ones(5), 2)
     assert (np.sign(tree) == [1, 1, -1, -1, 1]).all()
+
+
+def test_targets_on_either_side():
+    scanner = toxicity.Scanner({"idiot": 4.0})
+    worth = lambda text: sum(scanner.clauses(text))
+    assert worth("i will kill you") == worth("they will kill") == worth("they will kill them") == 6
+    assert worth("we will burn your house") > 0
+    assert worth("idiot, you there") == worth("you idiot") == worth("you idiot you") == 6
+    assert worth("never kill you") < worth("kill you") and worth('"kill" you') < worth("kill you")
+    assert worth("kill the process") == worth("kill. you") == worth("kill a b c d you") == 0
+    assert worth("idiot a b c d you") == 4
