@@ -20,7 +20,10 @@ is sorted in memory by multikey quicksort and neighbours are compared. Splitters
 include the place, so suffixes that are equal a great many times fall into
 several ranges; runs that reach the edge of a range are compared across it.
 
-Texts are named by two hashes. No group of equal suffixes is ever collected.
+Texts are named by two hashes. Copies of a text are reduced to one before both
+steps, for every window of a text that stands twice repeats; so no two suffixes
+agree in place as well, and no range grows with the number of copies. No group of
+equal suffixes is ever collected.
 """
 
 from __future__ import annotations
@@ -256,20 +259,25 @@ def sorted_ranges(suffixes: DataFrame, rows: int, compare, schema: str) -> DataF
     return suffixes.repartitionByRange(ranges, "t1", "t2", "k1", "k2", "start").mapInArrow(compare, schema)
 
 
+def distinct_texts(rows: DataFrame) -> DataFrame:
+    """(k1, k2, text, copies): every text of ``rows`` (k1, k2, text) once. Each task drops its copies before the exchange."""
+    return rows.groupBy("k1", "k2").agg(F.first("text").alias("text"), F.count("*").alias("copies"))
+
+
 def repeated_spans(texts: DataFrame, length: int) -> DataFrame:
     """(k1, k2, start, n): windows start .. start + n - 1 of a text also start elsewhere.
 
-    ``texts`` has a row (k1, k2, text, ...) per document, dealt out by k1 and k2;
-    copies are rows of their own. Further columns are left alone: with them the
-    exchange of the texts is the same here and in the caller, so it runs once.
+    ``texts`` has a row (k1, k2, text, copies) per distinct text. A text with two
+    or more copies repeats from end to end; it stays in both steps once, so that
+    others are compared with it.
     """
-    long_enough = texts.select("k1", "k2", "text").filter(F.octet_length("text") >= length)
-    size = texts.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
-    sparse = long_enough.mapInArrow(_sparse(length), SPARSE)
+    long_enough = F.octet_length("text") >= length
+    size = texts.filter(long_enough).agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    sparse = texts.filter(long_enough).select("k1", "k2", "text").mapInArrow(_sparse(length), SPARSE)
     spans = stored(sorted_ranges(sparse, 6 * size // length, _compare_sparse, SPANS), "spans")
     open_ = spans.filter("NOT sure").groupBy("k1", "k2").agg(F.collect_set(F.struct("start", "n")).alias("ranges"))
     expected = spans.filter("NOT sure").agg(F.sum("n")).first()[0] or 0
-    windows = texts.join(open_, ["k1", "k2"]).mapInArrow(_window_suffixes(length), WINDOWS)
+    windows = texts.join(open_, ["k1", "k2"]).select("k1", "k2", "text", "ranges").mapInArrow(_window_suffixes(length), WINDOWS)
     compared = sorted_ranges(windows, expected, _compare_windows, EDGED)
     # rows at the edges, two per range at most, meet those with their tokens; all others stay by themselves
     edge = F.col("t1").isNotNull()
@@ -292,6 +300,8 @@ def covered(start: np.ndarray, n: np.ndarray, length: int) -> tuple[list[int], l
 
 
 def _cut(length: int, with_text: bool):
+    """What is left of each distinct text; of one with copies, nothing that a window covers."""
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw, borders = column_bytes(batch.column("text"))
@@ -299,11 +309,15 @@ def _cut(length: int, with_text: bool):
             ends = np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy())
             flat = lists.flatten()
             starts, counts = (flat.field(c).to_numpy() for c in ("start", "n"))
+            copies = batch.column("copies").to_pylist()
             removed, spans, digest, kept = [], [], [], []
             for i in range(batch.num_rows):
                 data = raw[borders[i] : borders[i + 1]].tobytes()
                 own = slice(ends[i - 1] if i else 0, ends[i])
-                first, last = covered(starts[own], counts[own], length)
+                if copies[i] > 1 and len(data) >= length:
+                    first, last = [0], [len(data)]
+                else:
+                    first, last = covered(starts[own], counts[own], length)
                 left = b"".join(data[a:b] for a, b in zip([0, *last], [*first, len(data)])) if first else data
                 removed.append(len(data) - len(left))
                 spans.append([{"start": a, "stop": b} for a, b in zip(first, last)])
@@ -339,13 +353,15 @@ def remove_repeats(
     added = ["n_bytes", "n_removed", "removed_spans", "kept_sha256", "kept_text"]
     names = [c for c in (docs.columns if keep is None else keep) if c not in added]
     k1, k2 = text_key(text_of(text))
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), k1, k2, text_of(text).alias("text"))
-    spans = repeated_spans(rows, length)
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), k1, k2)
+    texts = distinct_texts(docs.select(k1, k2, text_of(text).alias("text")))
+    spans = repeated_spans(texts, length)
     by_text = spans.groupBy("k1", "k2").agg(F.collect_set(F.struct("start", "n")).alias("spans"))
-    joined = rows.join(by_text, ["k1", "k2"], "left")
+    joined = texts.select(F.struct("k1", "k2").alias("row"), "k1", "k2", "text", "copies").join(by_text, ["k1", "k2"], "left")
     schema = with_row(
         joined, n_bytes="long", n_removed="long", removed_spans="array<struct<start:bigint,stop:bigint>>",
         kept_sha256="string", kept_text="string",
     )
-    cut = joined.mapInArrow(_cut(length, with_text), schema)
-    return unpacked(cut, *[F.col(c) for c in added if with_text or c != "kept_text"])
+    cut = joined.mapInArrow(_cut(length, with_text), schema).select("row.*", F.struct(*added).alias("cut"))
+    # a join of plain exchanges, so that Spark can split a text with very many copies
+    return unpacked(rows.join(cut, ["k1", "k2"]), *[F.col("cut")[c].alias(c) for c in added if with_text or c != "kept_text"])
