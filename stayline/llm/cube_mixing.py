@@ -7,6 +7,8 @@ balancing constraints (number of documents, number of words) until almost all
 are 0 or 1, so both totals stay as they are. Sources are cut into blocks that
 fly on their own; the two or three undecided documents of each block fly again
 together, level by level, until one small landing problem per source remains.
+The largest documents of a source take no part in any flight and are only placed by
+landing, whatever the size of the table.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ WEIGHTS = (5.0, 2.0, 1.0)
 MOST_TIMES = 3
 #: Documents that fly together.
 BLOCK = 10_000
-#: Largest documents of the last block of a source that only land, so that landing has a choice.
+#: Largest documents of a source that only land, so that landing has a choice.
 SPARED = 13
 EDGE = 1e-9
 
@@ -105,13 +107,29 @@ def land(size: np.ndarray, chance: np.ndarray) -> np.ndarray:
     return out
 
 
+def with_spared(units: DataFrame, most: int = SPARED) -> DataFrame:
+    """``units`` with ``spared``: whether a document is among the ``most`` largest of its source.
+
+    ``tie`` tells equal documents apart. Spark keeps ``most`` rows of a source in
+    each task before the exchange, so no source meets in one task.
+    """
+    by_size = Window.partitionBy("source").orderBy(F.desc("size"), F.desc("order"), F.desc("tie"))
+    largest = units.select("source", "size", "order", "tie").withColumn("rank", F.row_number().over(by_size)).filter(F.col("rank") <= most)
+    last = largest.groupBy(F.col("source").alias("s")).agg(F.min(F.struct("size", "order", "tie")).alias("last"))
+    return (
+        units.join(stored(last, "largest"), F.col("source").eqNullSafe(F.col("s")))
+        .withColumn("spared", F.struct("size", "order", "tie") >= F.col("last"))
+        .drop("s", "last")
+    )
+
+
 def _flight(landing: bool):
     def one_block(block: pd.DataFrame) -> pd.DataFrame:
         block = block.sort_values(["order", "size"], kind="stable").reset_index(drop=True)
         size, chance = block["size"].to_numpy(), block["chance"].to_numpy().copy()
-        spared = SPARED if landing else 0
         # the largest do not fly: whichever way they fall, other sets of them come close to the total
-        rest = np.argsort(-size, kind="stable")[spared:]
+        rest = np.flatnonzero(~block["spared"].to_numpy(bool))
+        rest = rest[np.argsort(-size[rest], kind="stable")]
         chance[rest] = fly(size[rest], chance[rest], int(block["seed"].iloc[0]))
         block["chance"] = land(size, chance) if landing else chance
         return block
@@ -141,6 +159,7 @@ def mix(
             F.col(f"`{source}`").cast("string").alias("source"),
             word_count(text_of(text)).cast("long").alias("size"),
             order.alias("order"),
+            F.monotonically_increasing_id().alias("tie"),
         ),
         "sizes",
     )
@@ -155,12 +174,14 @@ def mix(
     times = F.coalesce(F.try_divide(F.col("target"), F.col("source_size")), F.lit(0.0))
     whole = F.floor(times + EDGE)
     units = (
-        sized.join(goals.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")))
+        with_spared(sized)
+        .join(goals.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")))
         .drop("s")
         .withColumn("times", whole.cast("double"))
         .withColumn("chance", F.greatest(times - whole, F.lit(0.0)))
     )
     done: list[DataFrame] = []
+    landing = units.filter("spared")
     left, unit_count = units, float(largest)
     while True:
         last = unit_count <= block
@@ -168,6 +189,8 @@ def mix(
         # blocks of a later level mix the leftovers of many blocks of this one
         place = F.pmod(F.xxhash64("order", F.lit(len(done))), F.greatest(blocks, F.lit(1)))
         keyed = left.withColumn("place", place.cast("long")).withColumn("seed", F.pmod(F.xxhash64("source", "place", F.lit(seed)), F.lit(2**31)))
+        if not last:
+            keyed = keyed.filter("NOT spared")
         flown = keyed.groupBy("source", "place").applyInPandas(_flight(last), keyed.schema)
         columns = [c for c in flown.columns if c not in ("place", "seed")]
         if last:
@@ -176,7 +199,7 @@ def mix(
         flown = stored(flown.select(columns), "flown")
         between = (F.col("chance") > 0) & (F.col("chance") < 1)
         done.append(flown.filter(~between))
-        left, unit_count = flown.filter(between), max(1.0, 3 * unit_count / block + 3)
+        left, unit_count = flown.filter(between).unionByName(landing.select(columns)), max(1.0, 3 * unit_count / block + 3)
     result = done[0]
     for more in done[1:]:
         result = result.unionByName(more)
