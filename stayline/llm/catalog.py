@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayline.llm import cube_mixing, decontaminate, labelled, licenses, quality_gam, quality_rules, simhash_ball, statements, suffix_repeats, token_cache, toxicity, warc
+from stayline.llm import cube_mixing, decontaminate, labelled, licenses, quality_gam, quality_rules, simhash_ball, statements, suffix_repeats, token_cache, token_files, toxicity, warc
 from stayline.llm.common import table, text_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -113,6 +113,13 @@ def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contamination(docs, table(spark, folder, "benchmark"), keep=["doc_id"])
 
 
+@query
+def op11_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    manifest = token_files.write_ids(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return token_files.read_documents(manifest, docs.select("doc_id").schema, with_ids=False)
+
+
 @query
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(spark, folder)
