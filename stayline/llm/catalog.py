@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayline.llm import cube_mixing, decontaminate, labelled, licenses, quality_gam, quality_rules, simhash_ball, statements, suffix_repeats, token_cache, token_files, toxicity, warc
+from stayline.llm import cube_mixing, decontaminate, labelled, licenses, quality_gam, quality_rules, simhash_ball, statements, suffix_repeats, token_alignment, token_cache, token_files, toxicity, warc
 from stayline.llm.common import table, text_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -120,6 +120,14 @@ def op11_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.read_documents(manifest, docs.select("doc_id").schema, with_ids=False)
 
 
+@query
+def op13_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    paths = (public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    found = token_alignment.linked_alignments(docs, *paths, keep=["doc_id"])
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 @query
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(spark, folder)
