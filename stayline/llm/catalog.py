@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayline.llm import cube_mixing, decontaminate, labelled, licenses, quality_gam, quality_rules, simhash_ball, statements, suffix_repeats, token_alignment, token_cache, token_files, toxicity, warc
+from stayline.llm import cube_mixing, decontaminate, labelled, licenses, quality_gam, quality_rules, ranked_search, simhash_ball, statements, suffix_repeats, token_alignment, token_cache, token_files, toxicity, warc
 from stayline.llm.common import table, text_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -120,6 +120,12 @@ def op11_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.read_documents(manifest, docs.select("doc_id").schema, with_ids=False)
 
 
+@query
+def op12_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    index = ranked_search.build_index(table(spark, folder, "documents").select("doc_id", "text"))
+    return ranked_search.ranked(index, table(spark, folder, "benchmark").select("item_id", "text"), 50)
+
+
 @query
 def op13_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
@@ -134,6 +140,7 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 
 
 ORACLES["op2_license_scans"] = statements.LICENSES
+ORACLES["op12_ranked_search"] = statements.RANKED
 ORACLES["op8_decontamination"] = statements.CONTAINED
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import sys
+import types
 import uuid
+from collections.abc import Callable, Hashable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -75,3 +78,15 @@ def stored(df: DataFrame, what: str) -> DataFrame:
 def text_key(c: Column) -> list[Column]:
     """Two 64-bit hashes that name a text: equal texts, equal keys."""
     return [F.xxhash64(c).alias("k1"), F.xxhash64(F.lit("second"), c).alias("k2")]
+
+
+def per_process(key: Hashable, make: Callable):
+    """One object per worker process, kept between tasks.
+
+    Functions reach workers by value, with new globals for each task, so the
+    object is kept by a module of its own.
+    """
+    kept = sys.modules.setdefault("stayline_process", types.ModuleType("stayline_process")).__dict__
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]

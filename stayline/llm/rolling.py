@@ -7,7 +7,7 @@ amount of memory.
 
 from __future__ import annotations
 
-from functools import lru_cache
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,15 +27,31 @@ def column_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[at[0] : at[-1]], at.astype(np.int64) - at[0]
 
 
-@lru_cache(maxsize=8)
+#: Tables of powers by base; a plain dict travels to workers by value, unlike a cached function.
+_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
 def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd base and of its inverse modulo 2**64."""
-    with np.errstate(over="ignore"):
-        up = np.full(n, base, np.uint64)
-        up[0] = 1
-        down = np.full(n, pow(base, -1, 2**64), np.uint64)
-        down[0] = 1
-        return np.multiply.accumulate(up), np.multiply.accumulate(down)
+    """At least ``n`` powers of an odd base and of its inverse modulo 2**64."""
+    known = _POWERS.get(base)
+    if known is None or len(known[0]) < n:
+        with np.errstate(over="ignore"):
+            up = np.full(n, base, np.uint64)
+            up[0] = 1
+            down = np.full(n, pow(base, -1, 2**64), np.uint64)
+            down[0] = 1
+            known = _POWERS[base] = np.multiply.accumulate(up), np.multiply.accumulate(down)
+    return known
+
+
+def byte_slices(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Rows lo .. hi - 1 that together have at most ``most`` bytes, or a single row."""
+    ends, lo = np.cumsum(sizes, dtype=np.int64), 0
+    while lo < len(sizes):
+        before = ends[lo - 1] if lo else 0
+        hi = max(lo + 1, int(np.searchsorted(ends, before + most, side="right")))
+        yield lo, hi
+        lo = hi
 
 
 def mix(x: np.ndarray) -> np.ndarray:

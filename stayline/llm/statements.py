@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from stayline.llm.common import LOWER, UPPER
 from stayline.llm.licenses import COVERAGE, DRIFT, GRAM, TEMPLATES
+from stayline.llm.ranked_search import TERM
 
 
 def _words(source: str, key: str) -> str:
@@ -65,3 +66,20 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_bas
   CAST(last_word AS BIGINT) AS last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
   coalesce(score, CAST(0 AS DOUBLE)) AS score
 FROM d LEFT JOIN found USING (doc_id)"""
+
+
+_TERMS = f"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{TERM}')"
+
+RANKED = f"""
+WITH d AS (SELECT doc_id, {_TERMS} AS t FROM documents),
+s AS (SELECT count(*) FILTER (WHERE len(t) > 0) AS docs, CAST(sum(len(t)) AS BIGINT) AS total FROM d),
+q AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark),
+p AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(t) AS term FROM d) GROUP BY ALL),
+w AS (SELECT term, CAST(floor(1000.0::DOUBLE * ln((2.0::DOUBLE * docs + 2.0) / (2.0::DOUBLE * count(*) + 1.0))) AS BIGINT) AS w
+  FROM p, s WHERE term IN (SELECT term FROM q) GROUP BY term, docs),
+scored AS (
+  SELECT item_id, doc_id,
+    CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * len(t) * docs) // total)))) AS BIGINT) AS score
+  FROM q JOIN p USING (term) JOIN w USING (term) JOIN d USING (doc_id), s GROUP BY item_id, doc_id)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= 50"""

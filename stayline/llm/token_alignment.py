@@ -28,8 +28,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from stayline.llm.common import stored, text_of, with_row
-from stayline.llm.rolling import column_bytes
+from stayline.llm.common import per_process, stored, text_of, with_row
+from stayline.llm.rolling import byte_slices, column_bytes
 from stayline.llm.unit_memo import UnitEncoder, encoder_arguments
 
 #: Bytes of text aligned at a time, unless one document has more.
@@ -201,22 +201,12 @@ def link_rows(pair: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return distinct, np.bincount(place, minlength=len(distinct)), lists
 
 
-def _slices(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
-    ends = np.cumsum(sizes)
-    lo = 0
-    while lo < len(sizes):
-        before = ends[lo - 1] if lo else 0
-        hi = max(lo + 1, int(np.searchsorted(ends, before + SLICE, side="right")))
-        yield lo, hi
-        lo = hi
-
-
 def _align(arguments: tuple, model: str, schema: pa.Schema, with_groups: bool, with_links: bool):
     def filled(rows: int, **columns: pa.Array) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([columns.get(f.name, pa.nulls(rows, f.type)) for f in schema], schema=schema)
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner, block = None, TaskContext.get().partitionId() << 32
+        block = TaskContext.get().partitionId() << 32
         held: list[tuple[np.ndarray, np.ndarray]] = []
         at = n_links = 0
 
@@ -229,8 +219,8 @@ def _align(arguments: tuple, model: str, schema: pa.Schema, with_groups: bool, w
 
         for batch in batches:
             texts = batch.column("text")
-            for lo, hi in _slices(pc.binary_length(texts).to_numpy(zero_copy_only=False)):
-                aligner = aligner or Aligner(arguments, model)
+            for lo, hi in byte_slices(pc.binary_length(texts).to_numpy(zero_copy_only=False), SLICE):
+                aligner = per_process(("aligner", model, *arguments), lambda: Aligner(arguments, model))
                 x = aligner.align(texts.slice(lo, hi - lo))
                 n_groups = np.diff(np.concatenate([[0], x.group_ends]))
                 digests = [hashlib.sha256(w).hexdigest() if w else "" for w in aligner.written(x)]

@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 from stayline.llm import direct_codes
 from stayline.llm.common import new_folder, partitions, stored, text_of
-from stayline.llm.unit_memo import UnitEncoder, encoder_arguments
+from stayline.llm.unit_memo import encoder_arguments, unit_encoder
 from stayline.llm.warc import open_to_read, put
 
 MAGIC = b"DACIDS01"
@@ -91,7 +91,6 @@ def with_end(ids: np.ndarray, n: np.ndarray, end_id: int | None) -> tuple[np.nda
 
 def _writer(folder: str, arguments: tuple, end_id: int | None):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = None
         part, shard = TaskContext.get().partitionId(), 0
         held: list[tuple[np.ndarray, np.ndarray, pa.Array]] = []
         size = 0
@@ -111,8 +110,7 @@ def _writer(folder: str, arguments: tuple, end_id: int | None):
         for batch in batches:
             for lo in range(0, batch.num_rows, 2_000):
                 piece = batch.slice(lo, 2_000)
-                encoder = encoder or UnitEncoder(*arguments)
-                ids, n = with_end(*encoder.encode(piece.column("text")), end_id)
+                ids, n = with_end(*unit_encoder(arguments).encode(piece.column("text")), end_id)
                 held.append((ids, n, piece.column("row")))
                 size += len(ids)
                 if size >= SHARD_IDS:

@@ -12,15 +12,17 @@ import json
 import os
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from stayline.llm.common import per_process
 from stayline.llm.rolling import column_bytes
 
-#: Units remembered before a task starts anew.
-MEMO_UNITS = 400_000
+#: Units remembered before a worker starts anew.
+MEMO_UNITS = 600_000
 #: Bytes cut into units at a time.
 PIECE = 1 << 21
 
@@ -61,6 +63,11 @@ def encoder_arguments(path: str, plain_specials: bool = False) -> tuple:
     return path, unit_rule(spec), tuple(t["content"] for t in spec["added_tokens"]), plain_specials
 
 
+def unit_encoder(arguments: tuple) -> UnitEncoder:
+    """The encoder of this worker process: its memo outlasts tasks."""
+    return per_process(("unit encoder", *arguments), lambda: UnitEncoder(*arguments))
+
+
 def pieces(raw: np.ndarray, size: int = PIECE) -> Iterator[tuple[int, int]]:
     """Borders of about ``size`` bytes; each cut lies before a blank that follows a word, which no unit crosses."""
     lo = 0
@@ -77,26 +84,53 @@ def pieces(raw: np.ndarray, size: int = PIECE) -> Iterator[tuple[int, int]]:
         lo = hi
 
 
-def dropped_units(raw: np.ndarray, first: np.ndarray) -> tuple[pa.Array, np.ndarray]:
-    """Runs between blanks and where they start; ``first`` marks the first byte of each text."""
-    word = ~BLANK[raw]
-    at = np.flatnonzero(word & (first | np.concatenate([[True], ~word[:-1]])))
-    offsets = np.concatenate([[0], np.cumsum(word)])[np.append(at, len(raw))].astype(np.int32)
-    return _strings(offsets, raw[word]), at
+#: Kinds of bytes: blanks, Latin letters, digits, other signs, and those whose words only the library may cut.
+LETTER, DIGIT, SIGN, HARD = 1, 2, 3, 4
+KINDS = np.full(256, HARD, np.uint8)
+KINDS[0x21:0x7F] = SIGN
+KINDS[BLANK] = 0
+KINDS[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = LETTER
+KINDS[0x30:0x3A] = DIGIT
+KINDS[0x27] = HARD  # an apostrophe may open a contraction
+
 
+def kinds(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The kind of each byte, and which are second bytes of a letter of Latin-1 (all but the two signs among them)."""
+    kind = KINDS[raw]
+    second = np.zeros(len(raw), bool)
+    second[1:] = (raw[:-1] == 0xC3) & (raw[1:] != 0x97) & (raw[1:] != 0xB7)
+    kind[second] = LETTER
+    kind[:-1][second[1:]] = LETTER
+    return kind, second
 
-def leading_units(raw: np.ndarray, first: np.ndarray) -> tuple[pa.Array, np.ndarray]:
-    """Words with the space before them, and what else stands between words, as GPT-2's pattern cuts them.
 
-    Of a run of blanks before a word the last is apart from the others; it joins
-    the word if it is a space. A run at the end of a text is one unit.
+def units(raw: np.ndarray, first: np.ndarray, rule: str) -> tuple[pa.Array, np.ndarray]:
+    """Units and where they start; ``first`` marks the first byte of each text.
+
+    Words without hard bytes are cut between letters, digits and signs. Under
+    ``dropped`` digits stand alone, blanks go and simple words are lower-cased.
+    Under ``leading`` a space joins the word after it; of a longer run of blanks
+    before a word all but the last are one unit, and a run at the end of a text
+    is one, as GPT-2's pattern has it.
     """
-    blank = BLANK[raw]
-    before = np.concatenate([[False], blank[:-1]])
+    kind, second = kinds(raw)
+    blank = kind == 0
+    before = np.concatenate([[True], blank[:-1]]) | first
+    word = np.cumsum(before & ~blank)
+    hard = np.zeros(int(word[-1]) + 1 if len(word) else 1, bool)
+    hard[word[kind == HARD]] = True
+    simple = ~hard[word] & ~blank
+    inner = np.zeros(len(raw), bool)
+    inner[1:] = simple[1:] & ~before[1:] & ((kind[1:] != kind[:-1]) | ((kind[1:] == DIGIT) & (rule == DROPPED)))
+    if rule == DROPPED:
+        at = np.flatnonzero((before & ~blank) | inner)
+        offsets = np.concatenate([[0], np.cumsum(~blank)])[np.append(at, len(raw))].astype(np.int32)
+        small = raw + np.uint8(32) * (simple & (((raw >= 0x41) & (raw <= 0x5A)) | (second & (raw <= 0x9E))))
+        return _strings(offsets, small[~blank]), at
     word_next = np.concatenate([~blank[1:] & ~first[1:], [False]])
-    space_before = np.concatenate([[False], raw[:-1] == 32])
-    cut = np.where(blank, ~before | word_next, before & ~space_before) | first
-    at = np.flatnonzero(cut)
+    space_before = np.concatenate([[False], raw[:-1] == 32]) & ~first
+    blank_before = np.concatenate([[False], blank[:-1]])
+    at = np.flatnonzero(np.where(blank, ~blank_before | word_next, blank_before & ~space_before) | first | inner)
     return _strings(np.append(at, len(raw)).astype(np.int32), raw), at
 
 
@@ -106,11 +140,12 @@ def _strings(offsets: np.ndarray, data: np.ndarray) -> pa.Array:
     )
 
 
-#: Letters of Latin-1 as the byte-level alphabet writes their two bytes.
+#: Letters of Latin-1 as the byte-level alphabet writes their two bytes, and the space.
 LATIN = {c: "Ã" + chr(b if b >= 0xA1 else b + 0xA2) for c in range(0xC0, 0x100) if c not in (0xD7, 0xF7) for b in [c - 0x40]}
 LATIN[0xED] = "ÃŃ"  # 0xAD stands apart in that alphabet
-SIMPLE = re.compile(r"[!-&(-~À-ÖØ-öø-ÿ]+")
-PARTS = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+|[0-9]|[^A-Za-z0-9À-ÖØ-öø-ÿ]+")
+LATIN[0x20] = "Ġ"
+#: One pre-token.
+SIMPLE = re.compile(r" ?(?:[A-Za-zÀ-ÖØ-öø-ÿ]+|[0-9]+|[!-&(-/:-@\[-`{-~]+)")
 
 
 class UnitEncoder:
@@ -130,11 +165,9 @@ class UnitEncoder:
             apart.append(UNUSUAL)
         self.apart = "|".join(apart)
         self.specials = [] if plain_specials else [s for s in specials if s]
-        self.parts: dict[str, list[int]] = {}
         self.forget()
 
     def forget(self) -> None:
-        self.parts.clear()
         self.place: dict[str, int] = {}
         self.flat = np.empty(1 << 16, np.int32)
         self.ends = np.zeros(1, np.int64)
@@ -142,39 +175,30 @@ class UnitEncoder:
     def by_library(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _split(self, units: list[str]) -> list[list[int]]:
-        """Ids of units between blanks: letters, digits and signs of simple units never share a token."""
-        parts, model = self.parts, self.library.model
-        found: list = [None] * len(units)
-        rest = []
-        for i, unit in enumerate(units):
-            if not SIMPLE.fullmatch(unit):  # an apostrophe may open a contraction; other scripts need the normaliser
-                rest.append(i)
-                continue
-            ids: list[int] = []
-            for part in PARTS.findall(unit.lower()):
-                known = parts.get(part)
-                if known is None:
-                    known = parts[part] = [t.id for t in model.tokenize(part.translate(LATIN))]
-                ids += known
-            found[i] = ids
+    def _encoded(self, units: list[str]) -> list[list[int]]:
+        """Ids of units; single pre-tokens of plain letters go straight to the merges."""
+        tokenize = self.library.model.tokenize
+        found = [
+            [t.id for t in tokenize(u if u.isalpha() and u.isascii() else u.translate(LATIN))] if SIMPLE.fullmatch(u) else None
+            for u in units
+        ]
+        rest = [i for i, ids in enumerate(found) if ids is None]
         for i, ids in zip(rest, self.by_library([units[i] for i in rest]), strict=True):
             found[i] = ids
         return found
 
-    def _learn(self, units: list[str]) -> None:
-        ids = self._split(units) if self.rule == DROPPED else self.by_library(units)
+    def _learn(self, new: list[str]) -> None:
+        ids = self._encoded(new)
         ends = self.ends[-1] + np.cumsum([len(x) for x in ids], dtype=np.int64)
         if ends[-1] > len(self.flat):
             self.flat = np.concatenate([self.flat[: self.ends[-1]], np.empty(int(ends[-1]) * 2, np.int32)])
-        self.flat[self.ends[-1] : ends[-1]] = np.fromiter((i for x in ids for i in x), np.int32, int(ends[-1] - self.ends[-1]))
-        for unit in units:
-            self.place[unit] = len(self.place)
+        self.flat[self.ends[-1] : ends[-1]] = np.fromiter(chain.from_iterable(ids), np.int32, int(ends[-1] - self.ends[-1]))
+        self.place.update(zip(new, range(len(self.place), len(self.place) + len(new))))
         self.ends = np.concatenate([self.ends, ends])
 
-    def _ids(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    def _ids(self, cut: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all units in a row, and how many each has."""
-        coded = units.dictionary_encode()
+        coded = cut.dictionary_encode()
         distinct = coded.dictionary.to_pylist()
         if len(self.place) > MEMO_UNITS:
             self.forget()
@@ -206,14 +230,13 @@ class UnitEncoder:
 
     def _cut(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         raw, borders = column_bytes(texts)
-        cut = dropped_units if self.rule == DROPPED else leading_units
         n_ids = np.zeros(len(texts), np.int64)
         found = []
         begins = np.zeros(len(raw) + 1, bool)
         begins[borders] = True
         for lo, hi in pieces(raw):
-            units, at = cut(raw[lo:hi], begins[lo:hi])
-            ids, n = self._ids(units)
+            cut, at = units(raw[lo:hi], begins[lo:hi], self.rule)
+            ids, n = self._ids(cut)
             # the last text that starts at or before a unit holds it; empty texts start there too but end at once
             owner = np.searchsorted(borders, lo + at, side="right") - 1
             np.add.at(n_ids, owner, n)

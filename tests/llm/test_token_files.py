@@ -17,7 +17,7 @@ from stayline.llm import catalog, direct_codes, token_files, unit_memo
 WORDS, BYTES = (public_tokenizers.path(f"{n}.json") for n in ("word_bpe_49k", "byte_bpe_50k"))
 #: What units can go wrong on: blanks of all kinds, contractions, special strings, other scripts, marks.
 BITS = [" ", "  ", "\n", "\t", " ", " ", "\x1c", "\x85", "a", "Don't", "'s", "''re", "ÉÍß", "İ", "ﬁ", "é", "日本", "12", "½", "Σας",
-        "<|endoftext|>", "x.", "...", "²", "µ", "🙂", "‍", "_", "the", "\x00", "\x7f", "́", "×"]
+        "<|endoftext|>", "x.", "...", "²", "µ", "🙂", "‍", "_", "the", "The9Éa3", "1a", "\x00", "\x7f", "́", "×"]
 
 
 @lru_cache
@@ -53,11 +53,12 @@ def test_units_of_long_texts(odd_texts, monkeypatch):
         assert [x.tolist() for x in np.split(ids, np.cumsum(n))[:-1]] == [library(path, path == BYTES)(t) for t in texts]
 
 
-def test_latin_letters_are_mapped_as_the_library_does():
-    encode = library(WORDS)
-    letters = [chr(c) * 2 + "n" for c in unit_memo.LATIN]
-    encoder = unit_memo.UnitEncoder(*unit_memo.encoder_arguments(WORDS))
-    assert encoder._split(letters) == [encode(x) for x in letters]
+@pytest.mark.parametrize(("path", "plain"), [(WORDS, False), (BYTES, True)])
+def test_latin_letters_are_mapped_as_the_library_does(path, plain):
+    encode = library(path, plain)
+    letters = [f"{chr(c) * 2}n {chr(c)}" for c in unit_memo.LATIN]
+    ids, n = encoder_of(path, plain).encode(pa.array(letters))
+    assert [x.tolist() for x in np.split(ids, np.cumsum(n))[:-1]] == [encode(x) for x in letters]
 
 
 def test_unknown_rules_take_whole_texts(tmp_path):
