@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayline.llm import cube_mixing, decontaminate, shingle_twins, suffix_repeats, toxicity
+from stayline.llm import cube_mixing, decontaminate, simhash_ball, suffix_repeats, toxicity
 from stayline.llm.common import stored, table
 
 #: Documents with this toxicity score or more go.
@@ -19,18 +19,22 @@ PASSAGE_BYTES = 240
 
 
 def toxic_documents_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity grammar rejects go."""
+    """Documents that the toxicity grammar rejects go; a null text is scored as one without a match, equal texts alike."""
     scored = toxicity.toxicity_scores(docs, table(spark, sf_dir, "labels"))
     return scored.filter(F.col("score") < TOXIC).select(*docs.columns)
 
 
 def near_duplicates_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, with 0.8 or more of their five-word shingles in common, stays."""
-    return shingle_twins.keep_one(docs)
+    """One document of each group linked by fingerprints within four bits stays: that with the smallest id.
+
+    Null and empty texts have one fingerprint and are one group; where no member
+    of a group has an id, or the smallest stands twice, any one row of it stays.
+    """
+    return simhash_ball.keep_one(docs)
 
 
 def repeated_passages_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages that stand more than once are cut out of the texts; every document stays."""
+    """Passages that stand more than once are cut out of the texts; every document stays, a null text as it is."""
     cut = suffix_repeats.remove_repeats(docs, PASSAGE_BYTES)
     left = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
     changed = cut.withColumn("text", left)
@@ -43,12 +47,12 @@ def repeated_passages_out(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def benchmark_documents_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go."""
+    """Documents that hold a benchmark item go; a null text holds none, items without words are in none."""
     return decontaminate.without_items(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """How many words the mix takes of each document."""
+    """How many words the mix takes of each document; a null text has none, a null source is a source of its own."""
     return cube_mixing.mix(docs, keep=["doc_id", "source"])
 
 
