@@ -200,8 +200,8 @@ def quality_scores(
     """All rows of ``docs`` with ``score``, the probability of label 1.
 
     ``keep`` names the input columns to carry (default: all but ``score``). Null
-    and empty texts are scored like a text without words. Ids that stand several
-    times are fitted on as often as they stand; without labelled rows every score
+    and empty texts are scored like a text without words. Of an id that
+    stands several times one row is fitted on, so rows are bounded as ids are; without labelled rows every score
     is a half. The features are stored once and read for fitting and scoring.
     """
     names = [c for c in (docs.columns if keep is None else keep) if c != "score"]
@@ -209,7 +209,7 @@ def quality_scores(
     rows_in = docs.select(row, text_of(text).alias("text"))
     featured = stored(rows_in.mapInArrow(_featured, with_row(rows_in, x="array<double>")), "features")
     chosen = training_labels(labels, label, folds, fold_out, rows)
-    known = featured.join(chosen, featured.row["__fit_id"] == chosen.doc_id).select("doc_id", "x", "label").collect()
+    known = featured.join(chosen, featured.row["__fit_id"] == chosen.doc_id).groupBy("doc_id", "label").agg(F.min("x").alias("x")).collect()
     known.sort(key=lambda r: (r.doc_id, r.x))
     model = fit(
         np.array([r.x for r in known]).reshape(len(known), len(FEATURES)), np.array([r.label for r in known], float)

@@ -26,14 +26,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stayline.llm.common import partitions, stored, text_of, with_row
+from stayline.llm.common import stored, text_of, with_row
 from stayline.llm.components import roots
 
 SHINGLE = 4
 SEED = 42
 RADIUS = 4
 #: Variants one reducing task sorts in memory.
-TASK_VARIANTS = 3_000_000
+TASK_VARIANTS = 1_000_000
+#: Fingerprints whose variants are packed together.
+SLICE = 500
 #: Bits of the three blocks.
 BLOCKS = (22, 21, 21)
 
@@ -118,26 +120,29 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _ball_variants(buckets: int):
+    """One row per bucket and slice of fingerprints: which of them have variants there, how many, and their flips."""
+
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flip = flips(list(range(64)), RADIUS // 2)
         for batch in batches:
-            for lo in range(0, batch.num_rows, 500):
-                fp = _words(batch.slice(lo, 500), "fp")
-                to = (mixed(fp[:, None] ^ flip[None, :]) % np.uint64(buckets)).astype(np.int32)
-                order = np.argsort(to, axis=1, kind="stable").astype(np.int16)
-                counts = np.zeros((len(fp), buckets), np.int64)
-                np.add.at(counts, (np.arange(len(fp))[:, None], to), 1)
-                counts = counts.ravel()
-                used = counts > 0
-                offsets = np.concatenate([[0], np.cumsum(counts[used])]).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(order.ravel()))
+            for lo in range(0, batch.num_rows, SLICE):
+                fp = _words(batch.slice(lo, SLICE), "fp")
+                to = (mixed(fp[:, None] ^ flip[None, :]) % np.uint64(buckets)).astype(np.int64).ravel()
+                order = np.argsort(to, kind="stable")
+                bucket, owner, number = to[order], order // len(flip), (order % len(flip)).astype(np.int16)
+                run = np.flatnonzero(np.concatenate([[True], (bucket[1:] != bucket[:-1]) | (owner[1:] != owner[:-1])]))
+                used = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+                by_run = pa.array(np.append(np.searchsorted(run, used), len(run)).astype(np.int32))
+                by_variant = pa.array(np.append(used, len(bucket)).astype(np.int32))
+                times = np.diff(np.append(run, len(bucket))).astype(np.int16)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.tile(np.arange(buckets, dtype=np.int32), len(fp))[used]),
-                        pa.array(np.repeat(fp, buckets)[used].view(np.int64)),
-                        lists,
+                        pa.array(bucket[used].astype(np.int32)),
+                        pa.ListArray.from_arrays(by_run, pa.array(fp[owner[run]].view(np.int64))),
+                        pa.ListArray.from_arrays(by_run, pa.array(times)),
+                        pa.ListArray.from_arrays(by_variant, pa.array(number)),
                     ],
-                    names=["bucket", "fp", "flips"],
+                    names=["bucket", "fps", "times", "flips"],
                 )
 
     return emit
@@ -149,10 +154,10 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     fps, variants = [], []
     for batch in batches:
         if batch.num_rows:
-            lists = batch.column("flips")
-            fp = np.repeat(_words(batch, "fp"), np.diff(np.array(lists.offsets)))
+            fp = np.array(batch.column("fps").flatten(), np.int64).view(np.uint64)
+            fp = np.repeat(fp, np.array(batch.column("times").flatten()))
             fps.append(fp)
-            variants.append(fp ^ flip[np.array(lists.flatten())])
+            variants.append(fp ^ flip[np.array(batch.column("flips").flatten())])
     if not fps:
         return
     fp, variant = np.concatenate(fps), np.concatenate(variants)
@@ -175,16 +180,15 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def links(fingerprints: DataFrame) -> DataFrame:
     """Links (u, v) that connect distinct fingerprints ``fp`` as all pairs within the radius would."""
-    spark = fingerprints.sparkSession
     keys = fingerprints.mapInArrow(_block_variants, "key long, fp long")
     paired = stored(
         keys.repartition("key").mapInArrow(_shared, "fp long").distinct(), "paired"
     )
-    variants = paired.count() * len(flips(list(range(64)), RADIUS // 2))
-    buckets = max(partitions(spark), variants // TASK_VARIANTS + 1)
-    balls = paired.repartition(partitions(spark), "fp").mapInArrow(
-        _ball_variants(buckets), "bucket int, fp long, flips array<smallint>"
-    )
+    n = paired.count()
+    # both follow from the number of fingerprints, so rows are slices x buckets whatever the partitioning
+    buckets = n * len(flips(list(range(64)), RADIUS // 2)) // TASK_VARIANTS + 1
+    slices = paired.repartition(n // (4 * SLICE) + 1)
+    balls = slices.mapInArrow(_ball_variants(buckets), "bucket int, fps array<long>, times array<smallint>, flips array<smallint>")
     return balls.repartitionById(buckets, "bucket").mapInArrow(_linked, "u long, v long").distinct()
 
 

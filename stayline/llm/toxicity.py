@@ -280,9 +280,10 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int, fold_out: int, rows: int
     """Lexicon and weights from a bounded sample of labelled rows, read once and stored."""
     # at most ``rows`` ids: a bounded side
     chosen = F.broadcast(training_labels(labels, label, folds, fold_out, rows))
-    train = stored(
-        docs.select(F.col(f"`{doc_id}`").alias("doc_id"), text_of(text).alias("text")).join(chosen, "doc_id"), "labelled"
-    )
+    known = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), text_of(text).alias("text")).join(chosen, "doc_id")
+    # an id that stands more than once counts once, so that rows are bounded as ids are
+    once = known.groupBy("doc_id", "label").agg(F.min(F.struct(F.xxhash64("text"), "text")).alias("least"))
+    train = stored(once.select("doc_id", F.col("least.text").alias("text"), "label"), "labelled")
     lexicon = learn_lexicon(train.select("text", "label"))
     summed = train.select(F.struct("doc_id", "label").alias("row"), "text")
     seen = summed.mapInArrow(_summaries(lexicon), with_row(summed, x="array<double>")).select("row.*", "x").collect()
@@ -314,7 +315,7 @@ def toxicity_scores(
 
     ``keep`` names the input columns to carry (default: all but ``score``). Null
     and empty texts are scored as texts without a match. Repeated rows get equal
-    scores; without labelled rows every score is a half.
+    scores; of an id with several texts one is fitted on; without labelled rows every score is a half.
     """
     names = [c for c in (docs.columns if keep is None else keep) if c != "score"]
     model = fit(docs, labels, folds, fold_out, rows, text, doc_id, label)
