@@ -35,7 +35,7 @@ from stayline.llm.rolling import byte_slices, column_bytes
 
 TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 #: Bytes of text in a block, unless one document has more.
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 8 << 20
 #: Items searched at a time.
 ITEM_BLOCK = 256
 #: Of each item's terms the most frequent ones are paired.
@@ -59,7 +59,7 @@ def occurrences(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
     first = np.zeros(len(raw) + 1, bool)
     first[borders] = True
     at = np.flatnonzero(inside & (first[:-1] | np.concatenate([[True], ~inside[:-1]])))
-    offsets = np.concatenate([[0], np.cumsum(inside)])[np.append(at, len(raw))].astype(np.int32)
+    offsets = np.concatenate([[0], np.cumsum(inside, dtype=np.int32)])[np.append(at, len(raw))].astype(np.int32)
     data = LOWERED[raw[inside]]
     terms = pa.Array.from_buffers(pa.string(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
     return terms.dictionary_encode(), np.searchsorted(borders, at, side="right") - 1
