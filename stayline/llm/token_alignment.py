@@ -18,6 +18,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -33,7 +34,7 @@ from stayline.llm.rolling import byte_slices, column_bytes
 from stayline.llm.unit_memo import UnitEncoder, encoder_arguments
 
 #: Bytes of text aligned at a time, unless one document has more.
-SLICE = 4 << 20
+SLICE = 1 << 20
 #: Links held before a block is closed.
 BLOCK_LINKS = 4_000_000
 
@@ -97,14 +98,12 @@ def shared_cuts(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         cut_a, cut_b = probe[hit], at[hit]
         cuts_a.append(cut_a)
         cuts_b.append(cut_b)
-        none = np.zeros(len(cut_a), np.int64)
-        lo, hi, blo, bhi, tried = (
-            np.concatenate(x)
-            for x in (
-                (lo[~hit], lo[hit], cut_a + 1), (hi[~hit], cut_a + 1, hi[hit]),
-                (blo[~hit], blo[hit], cut_b + 1), (bhi[~hit], cut_b + 1, bhi[hit]), (tried[~hit] + 1, none, none),
-            )
-        )
+        # a divided interval gives way to its halves in its place: probes stay in order, which bisection likes
+        place = np.repeat(np.arange(len(lo)), 1 + hit)
+        first = np.flatnonzero(hit) + np.arange(len(cut_a))
+        lo, hi, blo, bhi, tried = lo[place], hi[place], blo[place], bhi[place], np.where(hit, 0, tried + 1)[place]
+        hi[first] = lo[first + 1] = cut_a + 1
+        bhi[first] = blo[first + 1] = cut_b + 1
     return np.sort(np.concatenate(cuts_a)), np.sort(np.concatenate(cuts_b))
 
 
@@ -139,7 +138,7 @@ class Aligner:
         a, n_a = self.a.encode(spaced)
         lists = self.b.encode(texts.to_pylist(), num_threads=1)
         n_b = np.array([len(x) for x in lists], np.int64)
-        b = np.fromiter((i for x in lists for i in x), np.int32, int(n_b.sum()))
+        b = np.fromiter(chain.from_iterable(lists), np.int32, int(n_b.sum()))
         raw, borders = column_bytes(spaced)
         raw = raw.tobytes()
         good = np.ones(len(texts), bool)
@@ -189,7 +188,8 @@ def _group_lists(x: Aligned) -> pa.Array:
 
 def link_rows(pair: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     """Distinct pairs with their number of links and the documents that hold them."""
-    distinct, place = np.unique(pair, return_inverse=True)
+    coded = pa.array(pair).dictionary_encode()
+    distinct, place = coded.dictionary.to_numpy(), coded.indices.to_numpy().astype(np.int64)
     width = int(at.max()) + 1
     held, times = np.unique(place * width + at, return_counts=True)
     owner = held // width
