@@ -1,7 +1,10 @@
 """Exact interpolated quantiles that stay bounded however large a group is.
 
-The built-in ``percentile`` keeps one entry per distinct value of a group in one
-task. That is fine for ordinary groups, so the size of the largest group is
+Whole columns are selected from by the digits of their values' bit patterns, see
+:func:`column_quantiles`.
+
+Per key, the built-in ``percentile`` keeps one entry per distinct value of a group
+in one task. That is fine for ordinary groups, so the size of the largest group is
 measured first (a scan of the key columns only). Groups above the limit take
 another way: approximate split points cut the value range, bucket counts tell
 which bucket holds the wanted rank, and only that bucket is kept. Each round
@@ -12,11 +15,14 @@ No value is dropped or sampled, so both ways give the same answer.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stayline.session import materialise
+from stayline.session import materialise, written
 
 GROUP_LIMIT = 1_000_000
 SPLITS = 64
@@ -63,13 +69,15 @@ def medians(columns: list[str], suffix: str = "") -> Spec:
 def group_quantiles(
     df: DataFrame, keys: list[str], specs: Spec, limit: int = GROUP_LIMIT, group_size: int | None = None
 ) -> DataFrame:
-    """One row per key with the quantile of each spec."""
+    """One row per key with the quantile of each spec; without keys one row for all."""
+    if not keys:
+        values = column_quantiles(df, specs)
+        schema = ", ".join(f"`{a}` double" for a in specs)
+        return df.sparkSession.createDataFrame([tuple(values.values())], schema)
     size = largest_group(df, keys) if group_size is None else group_size
     df = _keyed(df, keys)
     if size <= limit:
         return _direct(df, keys, specs)
-    if not keys:
-        return _large_groups(df, keys, specs, size, limit)
     large = df.groupBy(*keys).count().filter(F.col("count") > limit).select(*keys)
     ordinary = _direct(df.join(large, keys, "left_anti"), keys, specs)
     hot = _large_groups(df.join(large, keys, "left_semi"), keys, specs, size, limit)
@@ -93,12 +101,127 @@ def aggregate_with_quantiles(
     return base.join(group_quantiles(df, keys, specs, limit, size), keys, "left")
 
 
-def column_quantiles(df: DataFrame, specs: Spec, limit: int = GROUP_LIMIT) -> dict[str, float | None]:
-    """Quantiles of whole columns as plain numbers, the state of fitted steps."""
+def column_quantiles(df: DataFrame, specs: Spec) -> dict[str, float | None]:
+    """Quantiles of whole columns as plain numbers, the state of fitted steps.
+
+    Selection by digits of the ordered bit pattern: one pass counts the leading
+    digits of all columns, the next ones look at rows that share the digits found
+    so far, until a wanted rank has a single value. A pass sends counts only, so
+    no task holds the values of a column, however many there are.
+    """
     if not specs:
         return {}
-    row = group_quantiles(df, [], specs, limit).first()
-    return row.asDict() if row is not None else dict.fromkeys(specs)
+    columns = sorted({c for c, _ in specs.values()})
+    names = {c: f"c{i}" for i, c in enumerate(columns)}
+    rows = written(df.select(*[F.col(c).cast("double").alias(names[c]) for c in columns]), "quantiles")
+    n = rows.agg(*[F.count(x).alias(x) for x in names.values()]).first()
+    ranks: set[tuple[str, int]] = set()
+    for c, p in specs.values():
+        if n[names[c]]:
+            low = math.floor(p * (n[names[c]] - 1))
+            ranks |= {(names[c], low), (names[c], min(low + 1, n[names[c]] - 1))}
+    found = select_ranks(rows, sorted(ranks))
+
+    def value(c: str, p: float) -> float | None:
+        total = n[names[c]]
+        if not total:
+            return None
+        place = p * (total - 1)
+        low = math.floor(place)
+        under, over = found[names[c], low], found[names[c], min(low + 1, total - 1)]
+        return under + (place - low) * (over - under) if over != under else under
+
+    return {alias: value(c, p) for alias, (c, p) in specs.items()}
+
+
+DIGIT_BITS = 16
+LEVELS = 64 // DIGIT_BITS
+
+
+def ordered_bits(values: np.ndarray) -> np.ndarray:
+    """Bit patterns of doubles as whole numbers that sort like them, NaN last."""
+    bits = (values + 0.0).view(np.uint64)  # turns -0.0 into 0.0
+    bits[np.isnan(values)] = np.uint64(0x7FF8000000000000)
+    top = np.uint64(1 << 63)
+    return np.where(bits & top, ~bits, bits | top)
+
+
+def doubles(bits: np.ndarray) -> np.ndarray:
+    top = np.uint64(1 << 63)
+    return np.where(bits & top, bits & ~top, ~bits).astype(np.uint64).view(np.float64)
+
+
+_COUNTED = "name string, prefix long, digit int, n long, least double, most double"
+
+
+def _count_digits(prefixes: dict[str, list[int]], level: int):
+    """Rows by digit of this level, for rows whose digits before it are one of the prefixes of their column."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = {(c, p): np.zeros(1 << DIGIT_BITS, np.int64) for c, own in prefixes.items() for p in own}
+        ends: dict[tuple[str, int], tuple[np.uint64, np.uint64]] = {}
+        shift = np.uint64(64 - DIGIT_BITS * (level + 1))
+        for batch in batches:
+            for c, own in prefixes.items():
+                bits = ordered_bits(batch.column(c).drop_null().to_numpy(zero_copy_only=False).astype(float))
+                before = bits >> np.uint64(64 - DIGIT_BITS * level) if level else np.zeros(len(bits), np.uint64)
+                for p in own:
+                    held = bits[before == np.uint64(p)] if level else bits
+                    if len(held):
+                        counts[c, p] += np.bincount((held >> shift) & np.uint64((1 << DIGIT_BITS) - 1), minlength=1 << DIGIT_BITS)
+                        least, most = ends.get((c, p), (held[0], held[0]))
+                        ends[c, p] = min(least, held.min()), max(most, held.max())
+        for (c, p), (least, most) in ends.items():
+            digits = np.flatnonzero(counts[c, p])
+            lo, hi = doubles(np.array([least, most], np.uint64))
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "name": pa.array([c] * len(digits)), "prefix": pa.array([p] * len(digits), pa.int64()),
+                    "digit": pa.array(digits.astype(np.int32)), "n": pa.array(counts[c, p][digits]),
+                    "least": pa.array([lo] * len(digits)), "most": pa.array([hi] * len(digits)),
+                }
+            )
+
+    return count
+
+
+def select_ranks(rows: DataFrame, ranks: list[tuple[str, int]]) -> dict[tuple[str, int], float]:
+    """The values at ranks (column, from 0) of columns of doubles; nulls have no rank."""
+    spark = rows.sparkSession
+    found: dict[tuple[str, int], float] = {}
+    # wanted rank -> digits known so far and the rank among the rows that have them
+    open_ = {r: (0, r[1]) for r in ranks}
+    for level in range(LEVELS):
+        if not open_:
+            break
+        prefixes: dict[str, list[int]] = {}
+        for (c, _), (prefix, _) in open_.items():
+            if prefix not in prefixes.setdefault(c, []):
+                prefixes[c].append(prefix)
+        counted = (
+            rows.select(*prefixes)
+            .mapInArrow(_count_digits(prefixes, level), _COUNTED)
+            .groupBy("name", "prefix", "digit")
+            .agg(F.sum("n").alias("n"), F.min("least").alias("least"), F.max("most").alias("most"))
+        )
+        whole = Window.partitionBy("name", "prefix")
+        running = whole.orderBy("digit").rowsBetween(Window.unboundedPreceding, 0)
+        upto = counted.withColumns({"upto": F.sum("n").over(running), "lo": F.min("least").over(whole), "hi": F.max("most").over(whole)})
+        asked = spark.createDataFrame(
+            [(c, prefix, rank, k) for (c, rank), (prefix, k) in open_.items()], "name string, prefix long, rank long, k long"
+        )
+        # as many rows as ranks are asked for
+        hits = upto.join(F.broadcast(asked), ["name", "prefix"]).filter("k < upto AND k >= upto - n").collect()
+        open_ = {}
+        for r in hits:
+            if r.lo == r.hi or r.lo != r.lo:
+                found[r.name, r.rank] = r.lo
+            elif level + 1 == LEVELS:
+                bits = np.array([r.prefix << DIGIT_BITS | r.digit], np.uint64)
+                found[r.name, r.rank] = float(doubles(bits)[0])
+            else:
+                open_[r.name, r.rank] = (r.prefix << DIGIT_BITS | r.digit, r.k - (r.upto - r.n))
+    return found
 
 
 def _large_groups(df: DataFrame, keys: list[str], specs: Spec, size: int, limit: int) -> DataFrame:

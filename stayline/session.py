@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -66,3 +67,10 @@ def materialise(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder once and read from there afterwards."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def written(df: DataFrame, what: str) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder: later scans read the columns they need."""
+    path = f"{shared_dir(df.sparkSession).rstrip('/')}/stayline-{what}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
