@@ -75,6 +75,23 @@ def stored(df: DataFrame, what: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, keys: list[str], what: str) -> DataFrame:
+    """``df`` written to the shared folder in buckets of ``keys``, as many as shuffles have partitions.
+
+    Joins on the keys read it without an exchange. Rows that are already dealt
+    out by the keys are written where they are. The table's name is only needed
+    to read it once.
+    """
+    spark = df.sparkSession
+    name = f"stayline_{what}_{uuid.uuid4().hex}"
+    writer = df.write.format("parquet").option("path", new_folder(spark, what)).option("compression", "zstd")
+    writer.bucketBy(partitions(spark), *keys).saveAsTable(name)
+    found = spark.table(name)
+    found.schema  # resolved before the name goes; the files stay
+    spark.sql(f"DROP TABLE {name}")
+    return found
+
+
 def text_key(c: Column) -> list[Column]:
     """Two 64-bit hashes that name a text: equal texts, equal keys."""
     return [F.xxhash64(c).alias("k1"), F.xxhash64(F.lit("second"), c).alias("k2")]

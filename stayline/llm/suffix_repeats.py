@@ -37,7 +37,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stayline.llm.common import partitions, stored, text_key, text_of, unpacked, with_row
+from stayline.llm.common import bucketed, partitions, stored, text_key, text_of, with_row
 from stayline.llm.rolling import PIECE, Rolled, column_bytes, least_in_window
 
 LENGTH = 400
@@ -260,8 +260,13 @@ def sorted_ranges(suffixes: DataFrame, rows: int, compare, schema: str) -> DataF
 
 
 def distinct_texts(rows: DataFrame) -> DataFrame:
-    """(k1, k2, text, copies): every text of ``rows`` (k1, k2, text) once. Each task drops its copies before the exchange."""
-    return rows.groupBy("k1", "k2").agg(F.first("text").alias("text"), F.count("*").alias("copies"))
+    """(k1, k2, text, copies): every text of ``rows`` (k1, k2, text) once, in buckets of its key.
+
+    Each task drops its copies before the exchange, which is the only one of the
+    texts: both steps and the cut read the buckets as they lie.
+    """
+    texts = rows.groupBy("k1", "k2").agg(F.first("text").alias("text"), F.count("*").alias("copies"))
+    return bucketed(texts, ["k1", "k2"], "texts")
 
 
 def repeated_spans(texts: DataFrame, length: int) -> DataFrame:
@@ -322,8 +327,8 @@ def _cut(length: int, with_text: bool):
                 removed.append(len(data) - len(left))
                 spans.append([{"start": a, "stop": b} for a, b in zip(first, last)])
                 digest.append(hashlib.sha256(left).hexdigest())
-                # a character goes as a whole if any of its bytes goes
-                kept.append(left.decode("utf-8", "ignore") if with_text else None)
+                # a character goes as a whole if any of its bytes goes; a text that stays is not sent again
+                kept.append(left.decode("utf-8", "ignore") if with_text and first else None)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("row"), pa.array(np.diff(borders)), pa.array(removed, pa.int64()),
@@ -353,7 +358,8 @@ def remove_repeats(
     added = ["n_bytes", "n_removed", "removed_spans", "kept_sha256", "kept_text"]
     names = [c for c in (docs.columns if keep is None else keep) if c not in added]
     k1, k2 = text_key(text_of(text))
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), k1, k2)
+    own = [text_of(text).alias("own")] if with_text and text not in names else []
+    rows = docs.select(F.struct(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), *own).alias("all"), k1, k2)
     texts = distinct_texts(docs.select(k1, k2, text_of(text).alias("text")))
     spans = repeated_spans(texts, length)
     by_text = spans.groupBy("k1", "k2").agg(F.collect_set(F.struct("start", "n")).alias("spans"))
@@ -364,4 +370,8 @@ def remove_repeats(
     )
     cut = joined.mapInArrow(_cut(length, with_text), schema).select("row.*", F.struct(*added).alias("cut"))
     # a join of plain exchanges, so that Spark can split a text with very many copies
-    return unpacked(rows.join(cut, ["k1", "k2"]), *[F.col("cut")[c].alias(c) for c in added if with_text or c != "kept_text"])
+    found = rows.join(cut, ["k1", "k2"])
+    told = {c: F.col("cut")[c] for c in added if c != "kept_text"}
+    if with_text:
+        told["kept_text"] = F.coalesce(F.col("cut")["kept_text"], F.col("all.own") if own else F.coalesce(F.col("all.row")[text], F.lit("")))
+    return found.select("all.row.*", *[c.alias(n) for n, c in told.items()])
