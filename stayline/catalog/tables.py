@@ -457,25 +457,28 @@ def d02(spark, folder):
     return missing.fill_numeric(bindings.bureau(spark, folder), -1.0).select("SEQ_EVENT", "MT_MENSAL", "COUNT_CL")
 
 
-def _fill_query(name: str, direction: str, sql_function: str, frame: str):
+def _fill_query(name: str, direction: str, sql_function: str, frame: str, keys: list[str]):
+    rest = "" if "DOSSIER" in keys else ", DOSSIER"
+
     @query(
         name,
         f"""SELECT CONTRIB, DOSSIER, SEQ_LINE, SEQ_PART, OBS_DATE, {sql_function}(D1FIN IGNORE NULLS) OVER (
-          PARTITION BY CONTRIB {_LOAN_ORDER}, DOSSIER ROWS BETWEEN {frame}) AS D1FIN FROM loans_raw""",
+          PARTITION BY {", ".join(keys)} {_LOAN_ORDER}{rest} ROWS BETWEEN {frame}) AS D1FIN FROM loans_raw""",
         dates="OBS_DATE D1FIN",
     )
     def fill(spark, folder):
-        rows = missing.directional_fill(
-            bindings.loans(spark, folder), ["D1FIN"], ["CONTRIB"], ["OBS_DATE", *bindings.SEQUENCE, "DOSSIER"], direction
-        )
+        order = [c for c in ("OBS_DATE", *bindings.SEQUENCE, "DOSSIER") if c not in keys]
+        rows = missing.directional_fill(bindings.loans(spark, folder), ["D1FIN"], keys, order, direction)
         return rows.select("CONTRIB", "DOSSIER", "SEQ_LINE", "SEQ_PART", "OBS_DATE", "D1FIN")
 
 
-_fill_query("d03_forward_fill", "ffill", "last_value", "UNBOUNDED PRECEDING AND CURRENT ROW")
-_fill_query("d04_backward_fill", "bfill", "first_value", "CURRENT ROW AND UNBOUNDED FOLLOWING")
-# the same within clients alone, whose groups are larger
-_fill_query("d03_forward_fill_pieces", "ffill", "last_value", "UNBOUNDED PRECEDING AND CURRENT ROW")
-_fill_query("d04_backward_fill_pieces", "bfill", "first_value", "CURRENT ROW AND UNBOUNDED FOLLOWING")
+_FORWARD = ("ffill", "last_value", "UNBOUNDED PRECEDING AND CURRENT ROW")
+_BACKWARD = ("bfill", "first_value", "CURRENT ROW AND UNBOUNDED FOLLOWING")
+_fill_query("d03_forward_fill", *_FORWARD, ["CONTRIB", "DOSSIER"])
+_fill_query("d04_backward_fill", *_BACKWARD, ["CONTRIB", "DOSSIER"])
+# over all contracts of a client: larger groups, more of which are cut
+_fill_query("d03_forward_fill_pieces", *_FORWARD, ["CONTRIB"])
+_fill_query("d04_backward_fill_pieces", *_BACKWARD, ["CONTRIB"])
 
 
 @query("d05_drop_null_dates", "SELECT CONTRIB, DOSSIER, SEQ_LINE, SEQ_PART FROM loans_raw WHERE D1FIN IS NOT NULL")

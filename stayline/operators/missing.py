@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stayline.operators.clean import drop_sparse_rows
-from stayline.session import materialise
+from stayline.session import written
 from stayline.sources.schema import columns_with_prefix, date_columns, numeric_columns, text_columns
 
 UNKNOWN = "Unknown"
@@ -34,10 +41,11 @@ def directional_fill(
     """Carry the nearest earlier (or later) non-null value over nulls.
 
     The row order must be named: it follows ``order_by`` inside ``partition_by``,
-    and a hash of the row where that leaves ties. Rows are dealt out by ranges of
-    key and order, so a large group is cut into pieces wherever its order columns
-    allow it, whatever their type. Each piece is filled by itself; what is carried
-    into it comes from a summary with one row per key and piece.
+    and a hash of the row where that leaves ties. Rows are dealt out once, by ranges
+    of key and order, so a large group is cut into pieces wherever its order columns
+    allow it, whatever their type. Each sorted piece is filled as it streams by;
+    only the first group of a piece can take over values, those of one row per
+    piece.
     """
     if not partition_by:
         raise ValueError("a directional fill needs a partition key")
@@ -50,46 +58,103 @@ def directional_fill(
     names = df.columns
     pieces = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     tied = df.withColumn("_tie", F.xxhash64(*[F.col(f"`{c}`") for c in names]))
-    order = [*order_by, "_tie"]
-    # the pieces must be the same for both uses below, so they are pinned
-    cut = materialise(
-        tied.repartitionByRange(pieces, *partition_by, *order).withColumn("_piece", F.spark_partition_id())
-    )
-    inner = Window.partitionBy(*partition_by, "_piece").orderBy(*order)
-    filled = cut.withColumns({c: _carried(F.col(c), inner, direction) for c in columns})
-    edge = F.max_by if direction == "ffill" else F.min_by
-    summary = cut.groupBy(*partition_by, "_piece").agg(
-        F.count("*").alias("_rows"),
-        *[edge(c, F.when(F.col(c).isNotNull(), F.struct(*order))).alias(f"_edge_{c}") for c in columns],
-    )
-    outer = Window.partitionBy(*partition_by).orderBy("_piece")
-    if direction == "ffill":
-        frame = outer.rowsBetween(Window.unboundedPreceding, -1)
-        carry = lambda c: F.last(c, ignorenulls=True).over(frame)
-    else:
-        frame = outer.rowsBetween(1, Window.unboundedFollowing)
-        carry = lambda c: F.first(c, ignorenulls=True).over(frame)
-    carried = summary.withColumns({f"_carry_{c}": carry(f"_edge_{c}") for c in columns})
-    # only groups that are cut have anything to carry: at most one per border of two pieces
-    carried = carried.filter(_any_filled(columns))
-    same = [F.col(f"f.{k}").eqNullSafe(F.col(f"s.{k}")) for k in [*partition_by, "_piece"]]
-    joined = filled.alias("f").join(carried.alias("s"), same, "left")
-    return joined.select(
-        *[
-            F.coalesce(F.col(f"f.{c}"), F.col(f"s._carry_{c}")).alias(c) if c in columns else F.col(f"f.{c}")
-            for c in names
-        ]
-    )
-
-
-def _any_filled(columns: list[str]) -> Column:
-    return F.coalesce(*[F.when(F.col(f"_carry_{c}").isNotNull(), True) for c in columns], F.lit(False))
-
-
-def _carried(c: Column, window, direction: str) -> Column:
-    if direction == "ffill":
-        return F.last(c, ignorenulls=True).over(window.rowsBetween(Window.unboundedPreceding, 0))
-    return F.first(c, ignorenulls=True).over(window.rowsBetween(0, Window.unboundedFollowing))
+    # a later value carried back is an earlier one in the reversed order
+    way = (lambda c: F.col(c).asc()) if direction == "ffill" else (lambda c: F.col(c).desc())
+    order = [*[F.col(c) for c in partition_by], *[way(c) for c in [*order_by, "_tie"]]]
+    dealt = tied.repartitionByRange(pieces, *order).sortWithinPartitions(*order).drop("_tie")
+    schema = T.StructType([*dealt.schema.fields, *T.StructType.fromDDL("_piece int, _first boolean, _last boolean").fields])
+    filled = written(dealt.mapInArrow(_filler(partition_by, columns), schema), "filled")
+    # one row per piece: what it hands on, and whether it goes to the piece's next one
+    ends = filled.filter("_last").select("_piece", "_first", *[f"`{c}`" for c in dict.fromkeys([*partition_by, *columns])]).collect()
+    starts = filled.groupBy("_piece").agg(*[F.first(F.when(F.col("_first"), F.col(f"`{k}`")), True).alias(f"_k{i}") for i, k in enumerate(partition_by)])
+    carried = _carries({r["_piece"]: r for r in ends}, {r["_piece"]: tuple(r)[1:] for r in starts.collect()}, partition_by, columns)
+    if not carried:
+        return filled.select(*[f"`{c}`" for c in names])
+    kinds = {f.name: f.dataType for f in filled.schema.fields}
+    told = T.StructType([T.StructField("_piece", T.IntegerType()), *[T.StructField(f"_c{i}", kinds[c]) for i, c in enumerate(columns)]])
+    small = df.sparkSession.createDataFrame(carried, told)
+    place = {c: i for i, c in enumerate(columns)}
+    # the first group of a piece may have begun in an earlier one; others never take anything over
+    into = lambda c: F.coalesce(F.col(f"`{c}`"), F.when(F.col("_first"), F.col(f"_c{place[c]}"))).alias(c)
+    return filled.join(F.broadcast(small), "_piece", "left").select(*[into(c) if c in place else F.col(f"`{c}`") for c in names])
+
+
+def _filler(keys: list[str], columns: list[str]):
+    """Fill each sorted piece by itself; its first group and its last row are marked."""
+
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        piece = TaskContext.get().partitionId()
+        last: pa.RecordBatch | None = None  # the last row so far, filled
+        first_group = True
+        held: pa.RecordBatch | None = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            if held is not None:
+                yield held
+            new = np.zeros(batch.num_rows, bool)
+            joined = batch if last is None else _under(last, batch, keys)
+            for k in keys:
+                column = joined.column(k)
+                new |= _changes(column)[len(column) - batch.num_rows :]
+            begins = np.flatnonzero(new)
+            inner = int(begins[0]) if len(begins) else batch.num_rows
+            first = np.arange(batch.num_rows) < inner if first_group else np.zeros(batch.num_rows, bool)
+            first_group = first_group and not len(begins)
+            at = np.arange(batch.num_rows)
+            group = np.maximum.accumulate(np.where(new, at, 0))
+            arrays = dict(zip(batch.schema.names, batch.columns))
+            for c in columns:
+                valid = batch.column(c).is_valid().to_numpy(zero_copy_only=False)
+                near = np.maximum.accumulate(np.where(valid, at, -1))
+                from_before = (near < 0) & (at < inner)
+                source = pa.array(near, mask=(near < group) & ~from_before | (near < 0))
+                filled = batch.column(c).take(source)
+                if last is not None and from_before.any():
+                    filled = pc.if_else(pa.array(from_before), last.column(c)[0], filled)
+                arrays[c] = filled
+            whole = list(arrays.values())
+            n = batch.num_rows
+            schema = batch.schema.append(pa.field("_piece", pa.int32())).append(pa.field("_first", pa.bool_())).append(pa.field("_last", pa.bool_()))
+            marks = [pa.array(np.full(n, piece, np.int32)), pa.array(first), pa.array(np.zeros(n, bool))]
+            held = pa.RecordBatch.from_arrays([*whole, *marks], schema=schema)
+            last = held.slice(n - 1, 1)
+        if held is not None:
+            end = np.zeros(held.num_rows, bool)
+            end[-1] = True
+            yield held.set_column(held.schema.get_field_index("_last"), "_last", pa.array(end))
+
+    return fill
+
+
+def _under(last: pa.RecordBatch, batch: pa.RecordBatch, keys: list[str]) -> pa.Table:
+    return pa.Table.from_batches([last.select(keys), batch.select(keys)]).combine_chunks()
+
+
+def _changes(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
+    """Where a value differs from the one before it; the first one never does, nulls are alike."""
+    whole = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    out = np.zeros(len(whole), bool)
+    if len(whole) > 1:
+        a, b = whole.slice(0, len(whole) - 1), whole.slice(1)
+        differ = pc.fill_null(pc.not_equal(a, b), False)
+        out[1:] = pc.or_(differ, pc.xor(a.is_valid(), b.is_valid())).to_numpy(zero_copy_only=False)
+    return out
+
+
+def _carries(ends: dict, starts: dict, keys: list[str], columns: list[str]) -> list[tuple]:
+    """What each piece takes over: the filled end of the piece before it, if its first group goes on there."""
+    out, before = [], None
+    for piece in sorted(ends):
+        own = tuple(ends[piece][k] for k in keys)
+        taken = before[1] if before is not None and before[0] == starts[piece] else [None] * len(columns)
+        if any(v is not None for v in taken):
+            out.append((piece, *taken))
+        values = [ends[piece][c] for c in columns]
+        if ends[piece]["_first"]:
+            values = [t if v is None else v for v, t in zip(values, taken)]
+        before = (own, values)
+    return out
 
 
 def handle_missing(
@@ -104,13 +169,13 @@ def handle_missing(
 ) -> DataFrame:
     """Drop sparse rows, then fill by type.
 
-    ``exclude`` names numeric columns that keep their nulls. Only date columns
+    ``exclude`` names columns of any type that keep their nulls, as keys should. Only date columns
     named in ``date_fill_columns`` (all but the order columns when left out) are
     filled or, with ``dates="drop"``, required.
     """
     kept = drop_sparse_rows(df, max_missing)
     out = fill_numeric(kept, numeric_value, numeric_columns(kept, exclude))
-    out = fill_text(out)
+    out = fill_text(out, columns=[c for c in text_columns(out) if c not in exclude])
     targets = date_fill_columns
     if targets is None:
         targets = [c for c in date_columns(out) if c not in order_by]
