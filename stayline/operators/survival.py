@@ -12,10 +12,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
+import pyarrow as pa
+from pyspark import StorageLevel, TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from stayline.session import written
 
 NORMAL_95 = 1.959963984540054  # fixed value: 97.5 % point of the normal distribution
 TIMEPOINTS = (90, 180, 365, 730, 1460, 2920)
@@ -326,82 +328,111 @@ def strongest_drivers(summary: DataFrame, n: int = 40) -> DataFrame:
 
 # ---------------------------------------------------------------- concordance
 
-DIGIT_BITS = 4
-RADIX = 1 << DIGIT_BITS
-
-
-@F.pandas_udf(T.LongType())
-def _ordered_bits(score: pd.Series) -> pd.Series:
-    """Bit pattern of a double as an integer that sorts like the double."""
-    value = score.to_numpy(float) + 0.0  # turns -0.0 into 0.0
-    bits = value.view(np.int64)
-    return pd.Series(np.where(bits < 0, np.int64(-(2**63)) - bits - 1, bits))
-
 
 def _pairs(a: Column, b: Column) -> Column:
     """Product of two counts; pairs of ten billion rows do not fit a long."""
     return (a.cast("decimal(18,0)") * b.cast("decimal(19,0)")).cast("decimal(38,0)")
 
 
+def pairs_within(t: np.ndarray, r: np.ndarray, e: np.ndarray, m: np.ndarray) -> tuple[int, int]:
+    """(concordant, discordant) pairs among entries of a day and a score with ``e`` events in ``m`` rows.
+
+    Entries are merged by score, bit by bit of its rank: two scores part at one
+    bit, where the halves of a group are compared in the order of their days.
+    """
+    rank = np.unique(r, return_inverse=True)[1]
+    by_day = np.argsort(-t.astype(np.int64), kind="stable")
+    t, e, m, rank = (x[by_day].astype(np.int64) for x in (t, e, m, rank))
+    totals = [0, 0]
+    for bit in range(int(rank.max()).bit_length() if len(rank) else 0):
+        order = np.argsort(rank >> (bit + 1), kind="stable")
+        group, high = rank[order] >> (bit + 1), (rank[order] >> bit) & 1
+        day, events, rows = t[order], e[order], m[order]
+        new_group = np.concatenate([[True], group[1:] != group[:-1]])
+        new_day = new_group | np.concatenate([[True], day[1:] != day[:-1]])
+        starts, cell = np.flatnonzero(new_day), np.cumsum(new_day) - 1
+        first_cell = np.maximum.accumulate(np.where(new_group[starts], np.arange(len(starts)), 0))
+        for side, total in ((0, 0), (1, 1)):
+            own = rows * (high == side)
+            ended = events * (high == side)
+            per_day, ended_day = np.add.reduceat(own, starts), np.add.reduceat(ended, starts)
+            upto = np.cumsum(per_day)
+            # later days of the group, and the rows of the day that have no event
+            after = upto - per_day - (upto - per_day)[first_cell] + per_day - ended_day
+            totals[total] += int((events * (high != side) * after[cell]).sum())
+    return totals[0], totals[1]
+
+
+def _ranged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows and events per day of one range of scores; its first row has the pairs within."""
+    held = [b for b in batches if b.num_rows]
+    if not held:
+        return
+    whole = pa.Table.from_batches(held)
+    t, r, e, m = (whole.column(c).to_numpy() for c in ("t", "r", "e", "m"))
+    days, place = np.unique(t, return_inverse=True)
+    sums = [np.zeros(len(days), np.int64) for _ in range(4)]
+    np.add.at(sums[0], place, e)
+    np.add.at(sums[1], place, m)
+    sums[2][0], sums[3][0] = pairs_within(t, r, e, m)
+    part = np.full(len(days), TaskContext.get().partitionId(), np.int32)
+    yield pa.RecordBatch.from_arrays([pa.array(x) for x in (part, days, *sums)], names=[x.split()[0] for x in CELLS.split(", ")])
+
+
+CELLS = "part int, t int, e long, m long, concordant long, discordant long"
+#: Entries of a range: what one task merges in memory.
+RANGE_ENTRIES = 200_000
+
+
 def concordance(df: DataFrame, duration: str, event: str, risk: str) -> DataFrame:
     """Exact concordant, discordant and tied pairs and the concordance index.
 
-    A higher risk should end earlier. No pair is ever formed: two scores differ
-    first at one digit of their bit pattern, so rows are grouped by the digits
-    before it, reduced to counts per day and digit, and the pairs follow from
-    running sums over days. A group holds at most one entry per day.
+    A higher risk should end earlier. No pair is ever formed. Rows are reduced to
+    one entry per day and score and dealt out by ranges of the score. Within a
+    range pairs are counted by merging; between ranges they follow from counts
+    per range and day, with running sums over ranges and over days.
     """
     rows = (
         df.select(F.col(duration).cast("int").alias("t"), F.col(event).cast("int").alias("e"), F.col(risk).cast("double").alias("r"))
         .na.drop()
         .groupBy("t", "r")
         .agg(F.sum("e").alias("e"), F.count("*").alias("m"))
-        .withColumn("code", _ordered_bits("r"))
     )
-    levels = 64 // DIGIT_BITS
-    varying = rows.agg(F.bit_or("code").bitwiseXOR(F.bit_and("code"))).first()[0] or 0
-    # a digit that is the same in every score separates no pair
-    useful = [n for n in range(levels) if (varying >> (n * DIGIT_BITS)) & (RADIX - 1)] or [0]
-    parts = F.array(
-        *[
-            F.struct(
-                F.lit(level).alias("level"),
-                (F.shiftright("code", (level + 1) * DIGIT_BITS) if level + 1 < levels else F.lit(0).cast("long")).alias("prefix"),
-                (F.shiftright("code", level * DIGIT_BITS).bitwiseAND(F.lit(RADIX - 1)).cast("int")
-                 if level + 1 < levels
-                 else (F.shiftright("code", level * DIGIT_BITS) + RADIX // 2).cast("int")).alias("digit"),
-            )
-            for level in useful
-        ]
+    rows = written(rows, "entries")
+    ranges = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), rows.count() // RANGE_ENTRIES + 1)
+    cells = written(rows.repartitionByRange(ranges, "r").mapInArrow(_ranged, CELLS), "ranges")
+    earlier = Window.partitionBy("t").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    later_ranges = Window.partitionBy("t").orderBy("part").rowsBetween(1, Window.unboundedFollowing)
+    # days x ranges cells, zero where a range has no rows on a day
+    full = (
+        cells.select("t").distinct().select("t", F.explode(F.sequence(F.lit(0), F.lit(ranges - 1))).alias("part"))
+        .join(cells, ["part", "t"], "left").na.fill(0, ["e", "m"])
     )
-    digits = rows.select("t", "e", "m", F.explode(parts).alias("x")).select("t", "e", "m", "x.*")
-    cells = digits.groupBy("level", "prefix", "t").agg(
-        *[F.sum(F.when(F.col("digit") == k, F.col("m")).otherwise(0)).alias(f"m{k}") for k in range(RADIX)],
-        *[F.sum(F.when(F.col("digit") == k, F.col("e")).otherwise(0)).alias(f"e{k}") for k in range(RADIX)],
+    sides = {"lower": earlier, "higher": later_ranges}
+    told = full.select(
+        "part", "t", "e",
+        *[F.coalesce(F.sum("m").over(w), F.lit(0)).alias(f"{n}_rows") for n, w in sides.items()],
+        *[F.coalesce(F.sum(F.col("m") - F.col("e")).over(w), F.lit(0)).alias(f"{n}_left") for n, w in sides.items()],
+    )
+    after = Window.partitionBy("part").orderBy(F.desc("t")).rowsBetween(Window.unboundedPreceding, -1)
+    outlived = told.select(
+        "e", *[(F.coalesce(F.sum(f"{n}_rows").over(after), F.lit(0)) + F.col(f"{n}_left")).alias(n) for n in sides]
     )
-    after = Window.partitionBy("level", "prefix").orderBy(F.desc("t")).rowsBetween(Window.unboundedPreceding, -1)
-    outlived = cells.select(
-        *[f"e{k}" for k in range(RADIX)],
-        # rows that end later, or the same day without an event
-        *[
-            (F.coalesce(F.sum(f"m{k}").over(after), F.lit(0)) + F.col(f"m{k}") - F.col(f"e{k}")).alias(f"l{k}")
-            for k in range(RADIX)
-        ],
+    none = F.lit(0).cast("decimal(38,0)")
+    between = outlived.agg(
+        F.coalesce(F.sum(_pairs(F.col("e"), F.col("lower"))), none).alias("concordant"),
+        F.coalesce(F.sum(_pairs(F.col("e"), F.col("higher"))), none).alias("discordant"),
     )
-    lower = [sum((F.col(f"l{j}") for j in range(k)), F.lit(0)) for k in range(RADIX)]
-    higher = [sum((F.col(f"l{j}") for j in range(k + 1, RADIX)), F.lit(0)) for k in range(RADIX)]
-    product = lambda sides: sum((_pairs(F.col(f"e{k}"), sides[k]) for k in range(RADIX)), F.lit(0))
-    ordered = outlived.agg(
-        F.coalesce(F.sum(product(lower)), F.lit(0)).alias("concordant"),
-        F.coalesce(F.sum(product(higher)), F.lit(0)).alias("discordant"),
+    within = cells.select(*[F.col(c).cast("decimal(38,0)").alias(c) for c in ("concordant", "discordant")])
+    ordered = between.unionByName(within).agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).cast("decimal(38,0)").alias(c) for c in ("concordant", "discordant")]
     )
-    days = rows.groupBy("t").agg(F.sum("e").alias("e"), F.sum("m").alias("m"))
+    days = cells.groupBy("t").agg(F.sum("e").alias("e"), F.sum("m").alias("m"))
     later = Window.partitionBy(F.lit(1)).orderBy(F.desc("t")).rowsBetween(Window.unboundedPreceding, -1)
     comparable = days.select(
         _pairs(F.col("e"), F.coalesce(F.sum("m").over(later), F.lit(0)) + F.col("m") - F.col("e")).alias("c")
     ).agg(F.coalesce(F.sum("c"), F.lit(0)).alias("comparable"))
     tied = F.col("comparable") - F.col("concordant") - F.col("discordant")
-    none = F.lit(0).cast("decimal(38,0)")
     sums = ordered.withColumn("comparable", none).unionByName(
         comparable.select(none.alias("concordant"), none.alias("discordant"), "comparable")
     )
