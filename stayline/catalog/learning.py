@@ -110,6 +110,30 @@ def p03(spark, folder):
     return oversample(vectors).groupBy("label").agg(F.count("*").alias("rows"))
 
 
+_PLANE = "SELECT c_custkey AS id, c_acctbal / 1000 AS a, c_custkey % 97 / 10.0::DOUBLE AS b FROM customer"
+
+
+@query(
+    "p03_nearest_neighbours",
+    f"""WITH p AS ({_PLANE}), d AS (SELECT p.id, q.id AS other, sqrt((p.a - q.a) * (p.a - q.a) + (p.b - q.b) * (p.b - q.b)) AS d
+      FROM p JOIN p q ON p.id <> q.id)
+    SELECT id, CAST(n AS INTEGER) AS n, d AS distance FROM (
+      SELECT id, d, row_number() OVER (PARTITION BY id ORDER BY d) AS n FROM d) WHERE n <= 5""",
+    doubles="distance",
+)
+def p03_near(spark, folder):
+    """Distances of the five nearest others of every customer in a plane, by ball tree."""
+    from pyspark.ml.feature import VectorAssembler
+
+    from stayline.ml.oversample import exact_neighbours
+
+    rows = bindings.table(spark, folder, "customer").select(
+        F.col("c_custkey").alias("id"), (F.col("c_acctbal") / 1000).alias("a"), (F.col("c_custkey") % 97 / 10).alias("b")
+    )
+    near = exact_neighbours(VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(rows), 5, block_rows=100)
+    return near.select("id", F.posexplode("near").alias("i", "e")).select("id", (F.col("i") + 1).alias("n"), F.col("e.d").alias("distance"))
+
+
 @query("p04_p05_pipeline_scores")
 def p04(spark, folder):
     """Probabilities of the held-out clients by one fitted pipeline."""
