@@ -264,9 +264,19 @@ def q10(spark, folder):
     return segments.intervention_table(segmented(spark, folder), "2001-12-31")
 
 
-@query("h05_seeded_sample")
+@query("h05_seeded_sample", "SELECT CONTRIB FROM clients ORDER BY md5('42|' || CAST(CONTRIB AS VARCHAR)), CONTRIB LIMIT 20000")
 def h05(spark, folder):
-    return segments.seeded_sample(stored_abt(spark, folder), 500).select("CONTRIB")
+    """A sample of clients as large as the silhouette needs."""
+    return segments.seeded_sample(stored_abt(spark, folder), 20_000).select("CONTRIB")
+
+
+@query(
+    "h05_sampled_lines",
+    "SELECT l_orderkey, l_linenumber FROM lineitem ORDER BY md5('7|' || CAST(l_orderkey * 10 + l_linenumber AS VARCHAR)), l_orderkey * 10 + l_linenumber LIMIT 20000",
+)
+def h05_lines(spark, folder):
+    rows = bindings.table(spark, folder, "lineitem").withColumn("line", F.col("l_orderkey") * 10 + F.col("l_linenumber"))
+    return segments.seeded_sample(rows, 20_000, "line", 7).select("l_orderkey", "l_linenumber")
 
 
 @query("q01_cluster_sweep")

@@ -573,12 +573,31 @@ def f01(spark, folder):
 def u05(spark, folder):
     tables = plan.prepared_tables(spark, folder)
     tables.pop("sizes")
-    return plan.merge_loan_level(**tables).groupBy("CONTRIB").agg(
+    return plan.merge_loan_level(**tables, history="all").groupBy("CONTRIB").agg(
         F.count("*").alias("rows"), F.count("ks_score_tier").alias("scored"), F.count("sdem_age").alias("aged"),
         F.count("MT_MENSAL").alias("bureau"),
     )
 
 
+@query(
+    "u05_merge_latest",
+    """SELECT l.CONTRIB, l.DOSSIER, l.SEQ_LINE, l.SEQ_PART, l.OBS_DATE, b.MT_MENSAL, s.sys_data_procura, s.ks_score_tier, s.kp_sqe_enc,
+      f.Date_Obs, f.sdem_age
+    FROM loans l LEFT JOIN bureau b ON l.CONTRIB = b.CONTRIB AND l.OBS_DATE = b.OBS_DATE
+    ASOF LEFT JOIN scores s ON l.CONTRIB = s.CONTRIB AND l.OBS_DATE >= s.sys_data_procura
+    ASOF LEFT JOIN fama f ON l.CONTRIB = f.CONTRIB AND l.OBS_DATE >= f.Date_Obs""",
+    doubles="MT_MENSAL",
+    dates="OBS_DATE sys_data_procura Date_Obs",
+)
+def u05_latest(spark, folder):
+    """Observations with the bureau row of their day and the score and client aggregates known by then."""
+    tables = plan.prepared_tables(spark, folder)
+    tables.pop("sizes")
+    return plan.merge_loan_level(**tables).select(
+        "CONTRIB", "DOSSIER", "SEQ_LINE", "SEQ_PART", "OBS_DATE", "MT_MENSAL", "sys_data_procura", "ks_score_tier", "kp_sqe_enc", "Date_Obs", "sdem_age"
+    )
+
+
 @query(
     "f03_suffixes",
     "SELECT o_orderkey, o_totalprice, r.mean AS o_totalprice_status FROM orders LEFT JOIN (SELECT o_orderstatus, avg(o_totalprice) AS mean FROM orders GROUP BY 1) r USING (o_orderstatus)",

@@ -257,5 +257,8 @@ def intervention_table(df: DataFrame, reference: str, segment: str = SEGMENT) ->
 
 
 def seeded_sample(df: DataFrame, n: int, key: str = "CONTRIB", seed: int = 42) -> DataFrame:
-    """``n`` rows in hash order of the key: the same rows however the table is partitioned."""
-    return df.orderBy(F.xxhash64(F.lit(seed), F.col(key)), key).limit(n)
+    """``n`` rows in the order of a digest of seed and key: the same rows in any engine and partitioning.
+
+    Each task keeps its ``n`` first rows only.
+    """
+    return df.orderBy(F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(key).cast("string"))), key).limit(n)

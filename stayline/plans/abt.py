@@ -128,19 +128,21 @@ def build_abt(spark: SparkSession, folder: str) -> DataFrame:
     return assemble(**prepared_tables(spark, folder))
 
 
-def stored_abt(spark: SparkSession, folder: str) -> DataFrame:
+def stored_abt(spark: SparkSession, folder: str, refresh: bool = False) -> DataFrame:
     """The base table as a written hand-off table, built once per session and input.
 
     Models, segments and reports all start from it; writing it to the shared
     folder means a lost executor re-reads a file instead of redoing the build.
+    The input is taken to stay as it is within a session; ``refresh`` looks at
+    its files and builds anew what has changed.
     """
-    version = (spark.sparkContext.applicationId, folder, source_version(spark, folder))
-    known = _STORED.get(version)
-    if known is None:
-        known = os.path.join(shared_dir(spark), f"abt-{uuid.uuid4().hex}.parquet")
-        save_and_verify(build_abt(spark, folder), known)
-        _STORED[version] = known
-    return spark.read.parquet(known)
+    at = (spark.sparkContext.applicationId, folder)
+    known = _STORED.get(at)
+    if known is None or (refresh and known[0] != source_version(spark, folder)):
+        path = os.path.join(shared_dir(spark), f"abt-{uuid.uuid4().hex}.parquet")
+        version = source_version(spark, folder)
+        known = _STORED[at] = (version, path, save_and_verify(build_abt(spark, folder), path).schema)
+    return spark.read.schema(known[2]).parquet(known[1])
 
 
 def source_version(spark: SparkSession, folder: str) -> tuple:
@@ -154,13 +156,23 @@ def source_version(spark: SparkSession, folder: str) -> tuple:
     return tuple(sorted(found))
 
 
-_STORED: dict[tuple, str] = {}
+_STORED: dict[tuple, tuple] = {}
 
 
 def merge_loan_level(
-    loans: DataFrame, bureau: DataFrame, scores: DataFrame, clients: DataFrame
+    loans: DataFrame, bureau: DataFrame, scores: DataFrame, clients: DataFrame, history: str = "latest"
 ) -> DataFrame:
-    """All four tables at observation grain; score and client histories repeat a row."""
+    """All four tables at observation grain.
+
+    Scores and client aggregates are those known at the observation: the newest
+    row at or before it, one at most, so rows are preserved. ``history="all"``
+    joins every row of the client instead, which repeats observations.
+    """
+    if history not in ("latest", "all"):
+        raise ValueError(f"unknown history {history!r}")
     rows = joins.left_join(loans, bureau, ["CONTRIB", "OBS_DATE"], "_crc")
-    rows = joins.left_join(rows, scores, ["CONTRIB"], "_credscore")
-    return joins.left_join(rows, clients, ["CONTRIB"], "_fama")
+    if history == "all":
+        rows = joins.left_join(rows, scores, ["CONTRIB"], "_credscore")
+        return joins.left_join(rows, clients, ["CONTRIB"], "_fama")
+    rows = joins.latest_join(rows, scores, ["CONTRIB"], "OBS_DATE", "sys_data_procura", "_credscore")
+    return joins.latest_join(rows, clients, ["CONTRIB"], "OBS_DATE", "Date_Obs", "_fama")
