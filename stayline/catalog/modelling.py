@@ -281,12 +281,12 @@ def h05_lines(spark, folder):
 
 @query("q01_cluster_sweep")
 def q01(spark, folder):
-    return segments.sweep_clusters(points(spark, folder), _XY, "c_custkey", ks=(2, 3, 4), starts=2)
+    return segments.sweep_clusters(points(spark, folder), _XY, "c_custkey")
 
 
 @query("q02_perspective_clusters")
 def q02(spark, folder):
-    out, _ = segments.assign_clusters(points(spark, folder), _XY, "cluster", 3, "c_custkey", starts=3)
+    out, _ = segments.assign_clusters(points(spark, folder), _XY, "cluster", 3, "c_custkey")
     return segments.cluster_distribution(out, "cluster").join(segments.group_centroids(out, "cluster", _XY), "cluster")
 
 
@@ -302,12 +302,8 @@ def u07(spark, folder):
     """The clustering table merged to segments, with segment sizes and means."""
     from stayline.plans.clustering import build_cluster_table, build_segments
 
-    built = build_cluster_table(stored_abt(spark, folder), imputation_rounds=1)
-    perspectives = {
-        "P1": ["N_CONTRACTS", "TOTAL_MTFINO", "TOTAL_MENSALIDADE"],
-        "P3": ["CLIENT_SENIORITY_YEARS", "YEARS_SINCE_LAST_CONTRACT"],
-    }
-    out = build_segments(built.table, starts=2, perspectives=perspectives)
+    built = build_cluster_table(stored_abt(spark, folder))
+    out = build_segments(built.table)
     return segments.cluster_distribution(out, "segment_final")
 
 

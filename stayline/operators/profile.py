@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -181,7 +185,8 @@ def density_curve(
     """Gaussian density of ``column`` on an even grid, per group.
 
     Values are clipped to the tail quantiles first and the bandwidth follows
-    Scott's rule. Equal values are counted once before the grid is evaluated.
+    Scott's rule. Equal values are counted once, and each task
+    adds them up on the grid before anything is exchanged.
     Groups under ``min_rows`` give no curve.
     """
     rows = df.select(group.alias("group"), F.col(column).cast("double").alias("v")).na.drop()
@@ -208,26 +213,45 @@ def density_curve(
         .withColumn("h", F.sqrt(F.col("ss") / (F.col("n") - 1)) * F.pow("n", F.lit(-0.2)))
         .filter(F.col("h") > 0)
     )
+    held = counted.join(F.broadcast(spread), "group").select("group", "v", "w", "n", "h", "mean", "lo", "hi")
+    kind = held.schema["group"].dataType.simpleString()
+    folded = held.mapInPandas(_folded(points), f"group {kind}, n double, h double, mean double, lo double, hi double, cells array<double>")
+    by_point = folded.select("group", "n", "h", "mean", "lo", "hi", F.posexplode("cells").alias("point", "k"))
     step = (F.col("hi") - F.col("lo")) / (points - 1)
-    evaluated = counted.join(F.broadcast(spread), "group").select(
-        "group", "n", "h", "mean", "v", "w", "lo", step.alias("step"),
-        F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"),
-    )
-    x = F.col("lo") + F.col("point") * F.col("step")
-    kernel = F.exp(-0.5 * F.pow((x - F.col("v")) / F.col("h"), F.lit(2)))
     return (
-        evaluated.groupBy("group", "point", "n", "h", "mean", "lo", "step")
-        .agg(F.sum(F.col("w") * kernel).alias("k"))
+        by_point.groupBy("group", "point", "n", "h", "mean", "lo", "hi")
+        .agg(F.sum("k").alias("k"))
         .select(
             "group",
             "point",
-            (F.col("lo") + F.col("point") * F.col("step")).alias("x"),
+            (F.col("lo") + F.col("point") * step).alias("x"),
             (F.col("k") / (F.col("n") * F.col("h") * F.sqrt(F.lit(2.0) * F.pi()))).alias("density"),
             "mean",
         )
     )
 
 
+def _folded(points: int):
+    """Kernel sums on the grid of each group: a task sends one array per group, whatever its rows."""
+
+    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums: dict[tuple, np.ndarray] = {}
+        for batch in batches:
+            for key, rows in batch.groupby(["group", "n", "h", "mean", "lo", "hi"], dropna=False, sort=False):
+                _, _, h, _, lo, hi = key
+                grid = lo + np.arange(points) * ((hi - lo) / (points - 1))
+                cells = sums.setdefault(key, np.zeros(points))
+                v, w = rows["v"].to_numpy(), rows["w"].to_numpy()
+                for at in range(0, len(v), 4096):
+                    away = (grid[:, None] - v[None, at : at + 4096]) / h
+                    cells += np.exp(-0.5 * away * away) @ w[at : at + 4096]
+        if sums:
+            names = ["group", "n", "h", "mean", "lo", "hi"]
+            yield pd.DataFrame([dict(zip(names, key)) | {"cells": cells} for key, cells in sums.items()])
+
+    return fold
+
+
 def probability_histogram(df: DataFrame, probability: str, label: str, bins: int = 50) -> DataFrame:
     """Histogram of scores by true label, each label summing to 1."""
     low, high = df.agg(F.min(probability), F.max(probability)).first()

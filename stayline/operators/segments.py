@@ -4,9 +4,6 @@ from __future__ import annotations
 
 import numpy as np
 from pyspark import StorageLevel
-from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,6 +11,7 @@ from stayline.functions.columns import ratio, years_before
 from stayline.functions.features import lifecycle_stage, loan_to_income
 from stayline.functions.labels import lookup
 from stayline.functions.portfolio import SEGMENTS
+from stayline.ml import kmeans
 from stayline.operators.rates import share_where
 from stayline.sources.schema import present
 
@@ -47,48 +45,35 @@ CONTINUOUS_PROFILE = [
 SEGMENT = "segment_final"
 
 
-def _vectors(df: DataFrame, columns: list[str], key: str) -> DataFrame:
-    complete = df.select(key, *[F.col(c).cast("double") for c in columns]).na.drop(subset=columns)
-    return VectorAssembler(inputCols=columns, outputCol="features").transform(complete).select(key, "features")
-
-
-def _best_of(vectors: DataFrame, k: int, starts: int, seed: int) -> KMeansModel:
-    models = [KMeans(k=k, seed=seed + i, maxIter=100, tol=1e-4).fit(vectors) for i in range(starts)]
-    return min(models, key=lambda m: m.summary.trainingCost)
+def _complete(df: DataFrame, columns: list[str], key: str) -> DataFrame:
+    rows = df.select(key, *[F.col(c).cast("double") for c in columns]).na.drop(subset=columns)
+    return rows.select(key, F.array(*columns).alias("x"))
 
 
 def sweep_clusters(
     df: DataFrame, columns: list[str], key: str = "CONTRIB", ks=range(2, 9), starts: int = 10, seed: int = 42
 ) -> DataFrame:
-    """Cost and silhouette over all rows for each number of clusters."""
-    vectors = _vectors(df, columns, key).persist(StorageLevel.MEMORY_AND_DISK)
-    evaluator = ClusteringEvaluator(featuresCol="features", predictionCol="prediction")
-    rows = []
+    """Cost and silhouette over all rows for each number of clusters, all fitted in the same scans."""
+    rows = _complete(df, columns, key).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        for k in ks:
-            model = _best_of(vectors, k, starts, seed)
-            rows.append((k, float(model.summary.trainingCost), float(evaluator.evaluate(model.transform(vectors)))))
+        best = kmeans.fit_many(rows, list(ks), starts, key, seed)
+        shapes = kmeans.silhouettes(rows, [best[k][1] for k in ks])
     finally:
-        vectors.unpersist()
-    return df.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double")
+        rows.unpersist()
+    table = [(k, best[k][0], shape) for k, shape in zip(ks, shapes)]
+    return df.sparkSession.createDataFrame(table, "k int, inertia double, silhouette double")
 
 
 def assign_clusters(
     df: DataFrame, columns: list[str], output: str, k: int = 3, key: str = "CONTRIB", starts: int = 10, seed: int = 42
-) -> tuple[DataFrame, KMeansModel]:
-    """Cluster label per row from the best of several starts; rows with nulls stay unassigned."""
-    vectors = _vectors(df, columns, key).persist(StorageLevel.MEMORY_AND_DISK)
+) -> tuple[DataFrame, np.ndarray]:
+    """Cluster label per row from the best of several starts, and the centres; rows with nulls stay unassigned."""
+    rows = _complete(df, columns, key).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        model = _best_of(vectors, k, starts, seed)
+        _, centres = kmeans.fit_many(rows, [k], starts, key, seed)[k]
     finally:
-        vectors.unpersist()
-    assembler = VectorAssembler(inputCols=columns, outputCol="_features", handleInvalid="keep")
-    doubles = df.withColumns({f"_d_{c}": F.col(c).cast("double") for c in columns})
-    assembler = assembler.setInputCols([f"_d_{c}" for c in columns])
-    model.setFeaturesCol("_features").setPredictionCol("_label")
-    labelled = model.transform(assembler.transform(doubles))
-    complete = sum((F.col(c).isNull().cast("int") for c in columns), F.lit(0)) == 0
-    return labelled.withColumn(output, F.when(complete, F.col("_label"))).select(*df.columns, output), model
+        rows.unpersist()
+    return df.withColumn(output, kmeans.nearest(columns, centres)), centres
 
 
 def combined_label(df: DataFrame, columns: list[str], output: str = "cluster_label") -> DataFrame:
