@@ -8,6 +8,7 @@ from stayline.catalog.base import VIEWS, query
 from stayline.operators import segments, survival
 from stayline.plans import bindings
 from stayline.plans.abt import stored_abt
+from stayline.sources.schema import numeric_columns
 
 # ------------------------------------------------------------------ survival on contract observations
 
@@ -339,9 +340,9 @@ def d08_mean(spark, folder):
 def d10(spark, folder):
     from stayline.ml.iterative import IterativeImputer
 
-    columns = ["MT_MENSAL", "COUNT_TOTAL", "DIVIDAS_CL", "MONTVENC_CL"]
-    rows = bindings.bureau(spark, folder).select("SEQ_EVENT", *columns)
-    filled = IterativeImputer(columns=columns, maxIter=5).fit(rows).transform(rows)
+    rows = bindings.bureau(spark, folder)
+    columns = numeric_columns(rows, ("CONTRIB", "SEQ_EVENT"))
+    filled = IterativeImputer(columns=columns).fit(rows).transform(rows)
     return filled.agg(*[F.avg(c).alias(c) for c in columns], *[F.count(c).alias(f"n_{c}") for c in columns])
 
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
 from pyspark.ml import Estimator, Model
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from pyspark.sql import types as T
 
 from stayline.ml.moments import summed_arrays
 from stayline.ml.params import Configured
+from stayline.session import written
 
 
 def replay(x: np.ndarray, initial: np.ndarray, steps: list) -> np.ndarray:
@@ -30,7 +32,8 @@ def evidence_ridge(gram: np.ndarray, cross: np.ndarray, target_ss: float, n: flo
     """Ridge weights whose two precisions maximise the evidence, from centred moments."""
     values, vectors = np.linalg.eigh(gram)
     values = np.clip(values, 0, None)
-    rotated = vectors.T @ cross
+    # directions in which the columns only repeat each other carry no weight; what sums leave there is rounding
+    rotated = np.where(values > 1e-9 * max(values.max(initial=0.0), 1e-300), vectors.T @ cross, 0.0)
     tiny = 1e-6
     noise, prior = n / max(target_ss, 1e-12), 1.0
     weights = np.zeros(len(cross))
@@ -47,23 +50,105 @@ def evidence_ridge(gram: np.ndarray, cross: np.ndarray, target_ss: float, n: flo
     return weights
 
 
+def _blocks(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(gaps, current values) of the rows of a state table."""
+    for batch in batches:
+        if len(batch):
+            yield np.stack(batch["gap"].to_numpy()).astype(bool), np.stack(batch["f"].to_numpy()).astype(float)
+
+
+def _apply(gaps: np.ndarray, now: np.ndarray, steps: list) -> np.ndarray:
+    """Current values after some regressions in turn."""
+    out = now.copy()
+    for j, intercept, weights in steps:
+        rows = gaps[:, j]
+        if rows.any():
+            out[rows, j] = intercept + np.delete(out[rows], j, axis=1) @ np.asarray(weights)
+    return out
+
+
+class CoMoments:
+    """Sums and products of the current values, apart for each column over the rows where it was given.
+
+    One scan sets them up. When a column gets new fills, only its row and column
+    of each product change, by what the rows with that gap contribute.
+    """
+
+    def __init__(self, state: DataFrame, order: list[int], centre: np.ndarray):
+        self.order, self.centre = order, centre
+        p, q = len(centre), len(order)
+
+        def partial(batches):
+            total = {"g": np.zeros((q, p, p)), "s": np.zeros((q, p)), "n": np.zeros(q)}
+            for gaps, now in _blocks(batches):
+                x = now - centre
+                for i, j in enumerate(order):
+                    own = x[~gaps[:, j]]
+                    total["g"][i] += own.T @ own
+                    total["s"][i] += own.sum(axis=0)
+                    total["n"][i] += len(own)
+            return total
+
+        found = summed_arrays(state, partial)
+        self.g, self.s, self.n = found["g"], found["s"], found["n"]
+
+    def regression(self, j: int) -> tuple[float, np.ndarray]:
+        """Intercept and weights of column ``j`` on all others, over the rows where it was given."""
+        i = self.order.index(j)
+        rest = np.delete(np.arange(len(self.centre)), j)
+        g, s, n = self.g[i], self.s[i], self.n[i]
+        mean, own = s[rest] / n, s[j]
+        weights = evidence_ridge(
+            g[np.ix_(rest, rest)] - n * np.outer(mean, mean), g[rest, j] - mean * own, g[j, j] - own * own / n, n
+        )
+        return float(self.centre[j] + own / n - (self.centre[rest] + mean) @ weights), weights
+
+    def update(self, state: DataFrame, done: list, step: tuple) -> None:
+        """Take in new fills of one column; ``done`` are the regressions of this round before it."""
+        j, order, centre = step[0], self.order, self.centre
+        p, q = len(centre), len(order)
+
+        def partial(batches):
+            total = {"d": np.zeros((q, p)), "e": np.zeros(q), "s": np.zeros(q)}
+            for gaps, now in _blocks(batches):
+                before = _apply(gaps, now, done)
+                x = before - centre
+                fresh = _apply(gaps, before, [step])[:, j] - centre[j]
+                for i, other in enumerate(order):
+                    rows = ~gaps[:, other]
+                    moved = fresh[rows] - x[rows, j]
+                    total["d"][i] += moved @ x[rows]
+                    total["e"][i] += (fresh[rows] ** 2 - x[rows, j] ** 2).sum()
+                    total["s"][i] += moved.sum()
+            return total
+
+        # only rows with this gap get new values
+        found = summed_arrays(state.filter(F.col("gap")[j]), partial)
+        if not found:
+            return
+        rest = np.delete(np.arange(p), j)
+        for i in range(q):
+            self.g[i][j, rest] += found["d"][i][rest]
+            self.g[i][rest, j] += found["d"][i][rest]
+            self.g[i][j, j] += found["e"][i]
+            self.s[i][j] += found["s"][i]
+
+
 class IterativeImputer(Configured, Estimator):
-    """Rounds of per-column regressions on the observed rows.
+    """Rounds of per-column regressions on the given rows of each column.
 
-    The rows are cached once and never rewritten: what was learned so far is a
-    short list of regressions that every pass replays on the original rows, so
-    the plan does not grow with the rounds. Each pass returns p x p moments.
+    The current values are a written table, one per round; within a round the
+    regressions so far are applied as rows stream by. Products of the columns are
+    kept up to date by what changes, so each round costs the same: one short scan
+    of the rows with a gap per column, and one write.
     """
 
     OPTIONS = {"columns": [], "maxIter": 10, "tolerance": 1e-3, "initial": "mean"}
 
     def _fit(self, dataset: DataFrame) -> IterativeImputerModel:
         columns = list(self.value("columns"))
-        rows = dataset.select(*[F.col(c).cast("double").alias(c) for c in columns]).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            return self._learn(rows, columns)
-        finally:
-            rows.unpersist()
+        rows = written(dataset.select(*[F.col(c).cast("double").alias(c) for c in columns]), "imputed")
+        return self._learn(rows, columns)
 
     def _learn(self, rows: DataFrame, columns: list[str]) -> IterativeImputerModel:
         stats = rows.agg(
@@ -85,54 +170,39 @@ class IterativeImputer(Configured, Estimator):
         limit = self.value("tolerance") * max((stats[f"x__{c}"] or 0.0 for c in columns), default=0.0)
         steps: list = []
         start = np.array(initial, dtype=float)
-        for round_ in range(self.value("maxIter")):
-            for j in order:
-                intercept, weights = self._regress(rows, columns, j, start, steps)
-                steps = [*steps, (j, intercept, [float(w) for w in weights])]
-            if round_ and order and self._change(rows, start, steps, len(order)) < limit:
-                break
+        if order:
+            state = rows.select(
+                F.array(*[F.col(c).isNull() for c in columns]).alias("gap"),
+                F.array(*[F.coalesce(F.col(c), F.lit(float(v))) for c, v in zip(columns, start)]).alias("f"),
+            )
+            state = written(state, "imputed")
+            moments = CoMoments(state, order, start)
+            for round_ in range(self.value("maxIter")):
+                done: list = []
+                for j in order:
+                    intercept, weights = moments.regression(j)
+                    step = (j, intercept, [float(w) for w in weights])
+                    moments.update(state, done, step)
+                    done.append(step)
+                steps += done
+                state = written(state.mapInPandas(_moved(done), "gap array<boolean>, f array<double>, d double"), "imputed")
+                if round_ and (state.agg(F.max("d")).first()[0] or 0.0) < limit:
+                    break
         return IterativeImputerModel(columns=columns, initial=[float(v) for v in start], steps=[list(s) for s in steps])
 
-    @staticmethod
-    def _regress(rows: DataFrame, columns: list[str], j: int, start: np.ndarray, known: list):
-        centre = np.delete(start, j)
-        target = start[j]
-        p = len(columns) - 1
 
-        def partial(batches):
-            total = {"g": np.zeros((p, p)), "c": np.zeros(p), "s": np.zeros(p), "y": np.zeros(3)}
-            for batch in batches:
-                x = batch.to_numpy(float)
-                seen = ~np.isnan(x[:, j])
-                if not seen.any():
-                    continue
-                filled = replay(x[seen], start, known)
-                a, y = np.delete(filled, j, axis=1) - centre, filled[:, j] - target
-                total["g"] += a.T @ a
-                total["c"] += a.T @ y
-                total["s"] += a.sum(axis=0)
-                total["y"] += [len(y), y.sum(), y @ y]
-            return total
+def _moved(steps: list):
+    """The state after a round, with the largest change of each row."""
 
-        m = summed_arrays(rows, partial)
-        n, sy, yy = m["y"]
-        mean = m["s"] / n
-        weights = evidence_ridge(m["g"] - n * np.outer(mean, mean), m["c"] - mean * sy, yy - sy * sy / n, n)
-        return float(target + sy / n - (centre + mean) @ weights), weights
-
-    @staticmethod
-    def _change(rows: DataFrame, start: np.ndarray, steps: list, width: int) -> float:
-        """Largest change of any filled cell in the last round."""
-
-        def largest(batches):
-            worst = 0.0
-            for batch in batches:
-                x = batch.to_numpy(float)
-                if len(x):
-                    worst = max(worst, float(np.abs(replay(x, start, steps) - replay(x, start, steps[:-width])).max()))
-            yield pd.DataFrame({"d": [worst]})
+    def move(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if not len(batch):
+                continue
+            (gaps, now), = _blocks(iter([batch]))
+            fresh = _apply(gaps, now, steps)
+            yield pd.DataFrame({"gap": batch["gap"], "f": list(fresh), "d": np.abs(fresh - now).max(axis=1)})
 
-        return rows.mapInPandas(largest, "d double").agg(F.max("d")).first()[0] or 0.0
+    return move
 
 
 class IterativeImputerModel(Configured, Model):
