@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from stayline.catalog.base import VIEWS, query
@@ -106,6 +107,23 @@ def r06(spark, folder):
     return cox_model(spark, folder).summary(spark)
 
 
+@query(
+    "r06_score_equations",
+    """SELECT 0.0::DOUBLE AS largest, count(*) AS clients FROM clients
+    WHERE (EVER_SAN = 1 OR EVER_SOL = 1 OR EVER_RBT = 1) AND TIME_TO_CHURN_D IS NOT NULL""",
+    doubles="largest",
+)
+def r06_equations(spark, folder):
+    """Largest derivative of the penalised likelihood at the model of all features of the settled clients: zero at its maximum."""
+    from stayline.plans import survival as study
+
+    frame, features = study.survival_frame(stored_abt(spark, folder))
+    model = survival.fit_cox(frame, study.DURATION, study.EVENT, features, 0.1)
+    largest = np.abs(survival.score_equations(frame, study.DURATION, study.EVENT, model, 0.1)).max()
+    clients = frame.select(study.DURATION, study.EVENT, *features).na.drop()
+    return clients.agg(F.lit(float(largest)).alias("largest"), F.count("*").alias("clients"))
+
+
 @query("h06_driver_ranking")
 def h06(spark, folder):
     from stayline.functions.portfolio import significance_stars

@@ -17,6 +17,7 @@ from pyspark import StorageLevel, TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stayline.ml.moments import summed_arrays
 from stayline.session import written
 
 NORMAL_95 = 1.959963984540054  # fixed value: 97.5 % point of the normal distribution
@@ -132,6 +133,7 @@ class CoxModel:
     log_likelihood: float
     iterations: int
     means: np.ndarray
+    scales: np.ndarray
 
     def summary(self, spark) -> DataFrame:
         """Hazard ratio, 95 % interval and p-value per feature."""
@@ -153,28 +155,63 @@ class CoxModel:
         return out
 
 
-def _gram_rows(features: list[str], weight: str):
-    """Partial weighted cross products of one partition, one small row each."""
+def weighted_gram(df: DataFrame, features: list[str], weight: str) -> np.ndarray:
+    """Sum of weight * x x' over the rows, p x p on the driver."""
 
-    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        p = len(features)
-        gram = np.zeros((p, p))
+    def partial(batches: Iterator[pd.DataFrame]) -> dict[str, np.ndarray]:
+        gram = np.zeros((len(features), len(features)))
         for batch in batches:
             x = batch[features].to_numpy(float)
             gram += (x * batch[weight].to_numpy(float)[:, None]).T @ x
-        yield pd.DataFrame({"i": np.repeat(np.arange(p), p), "j": np.tile(np.arange(p), p), "v": gram.ravel()})
+        return {"gram": gram}
 
-    return partial
+    found = summed_arrays(df.select(*features, weight), partial)
+    return found.get("gram", np.zeros((len(features), len(features))))
 
 
-def weighted_gram(df: DataFrame, features: list[str], weight: str) -> np.ndarray:
-    """Sum of weight * x x' over the rows, p x p on the driver."""
-    parts = df.select(*features, weight).mapInPandas(_gram_rows(features, weight), "i int, j int, v double")
-    rows = parts.groupBy("i", "j").agg(F.sum("v").alias("v")).collect()
-    gram = np.zeros((len(features), len(features)))
-    for r in rows:
-        gram[r["i"], r["j"]] = r["v"]
-    return gram
+#: Events of a day up to which their terms are added one by one.
+FEW_TIES = 32
+
+
+def tie_sums(s0: np.ndarray, q0: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Per day, over l = 0 .. d - 1 with u = l / d and y = s0 - u q0: sums of 1/y, u/y, 1/y2, u/y2, u2/y2 and log y.
+
+    ``s0`` is the weight at risk, ``q0`` that of the ``d`` rows with an event. Days
+    with few events are added up; others by the integral with corrections at both
+    ends, whose error falls with the sixth power of the events, or, where the
+    events are most of the weight at risk, exactly up to the last few terms.
+    """
+    out = np.zeros((6, len(d)))
+    few = d <= FEW_TIES
+    if few.any():
+        ties = np.arange(FEW_TIES)[None, :]
+        u = ties / d[few, None]
+        inside = ties < d[few, None]
+        y = np.where(inside, s0[few, None] - u * q0[few, None], 1.0)
+        terms = (1 / y, u / y, 1 / y**2, u / y**2, u**2 / y**2, np.log(y))
+        out[:, few] = [(t * inside).sum(axis=1) for t in terms]
+    for i in np.flatnonzero(~few):
+        out[:, i] = _many_ties(float(s0[i]), float(q0[i]), int(d[i]))
+    return tuple(out)
+
+
+def _many_ties(s0: float, q0: float, d: int) -> np.ndarray:
+    # the last terms one by one: next to them y may come close to zero
+    last = np.arange(max(0, d - FEW_TIES), d) / d
+    y = s0 - last * q0
+    ends = np.array([(1 / y).sum(), (last / y).sum(), (1 / y**2).sum(), (last / y**2).sum(), (last**2 / y**2).sum(), np.log(y).sum()])
+    n = d - len(last)
+    h, top = q0 / d, s0 - n * q0 / d
+    # sums over l < n of powers of 1 / (s0 - h l), by Euler and Maclaurin
+    log = math.log(s0 / top)
+    inv = log / h + (1 / s0 - 1 / top) / 2 + h * (1 / top**2 - 1 / s0**2) / 12 - 6 * h**3 * (1 / top**4 - 1 / s0**4) / 720
+    inv2 = (1 / top - 1 / s0) / h + (1 / s0**2 - 1 / top**2) / 2 + 2 * h * (1 / top**3 - 1 / s0**3) / 12 - 24 * h**3 * (1 / top**5 - 1 / s0**5) / 720
+    logs = (s0 * (math.log(s0) - 1) - top * (math.log(top) - 1)) / h + (math.log(s0) - math.log(top)) / 2 - h * (1 / top - 1 / s0) / 12 + 2 * h**3 * (1 / top**3 - 1 / s0**3) / 720
+    # u = (s0 - y) / q0
+    u_inv = (s0 * inv - n) / q0
+    u_inv2 = (s0 * inv2 - inv) / q0
+    uu_inv2 = (s0 * s0 * inv2 - 2 * s0 * inv + n) / q0**2
+    return ends + np.array([inv, u_inv, inv2, u_inv2, uu_inv2, logs])
 
 
 def fit_cox(
@@ -219,7 +256,7 @@ def fit_cox(
     finally:
         scaled.unpersist()
     errors = np.sqrt(np.clip(np.diag(np.linalg.pinv(hessian)), 0, None)) / scales
-    return CoxModel(list(features), beta / scales, errors, value, used, means)
+    return CoxModel(list(features), beta / scales, errors, value, used, means, scales)
 
 
 def _newton(scaled, xs, n, penalty, ties, max_iterations, tolerance):
@@ -255,52 +292,71 @@ def _score(xs, beta) -> Column:
     return out
 
 
+def _day_sums(scaled: DataFrame, xs: list[str], beta: np.ndarray) -> dict[int, np.ndarray]:
+    """Per day: events, weight, weight of events, log weight of events; then weighted features of all, of events, features of events."""
+    p = len(xs)
+
+    def partial(batches: Iterator[pd.DataFrame]) -> dict[str, np.ndarray]:
+        total: dict[str, np.ndarray] = {}
+        for batch in batches:
+            if not len(batch):
+                continue
+            x, died = batch[xs].to_numpy(float), batch["e"].to_numpy() == 1
+            linear = x @ beta
+            w = np.exp(linear)
+            days, place = np.unique(batch["t"].to_numpy(), return_inverse=True)
+            ended = np.where(died, w, 0.0)
+            row = np.column_stack([died, w, ended, np.where(died, linear, 0.0), x * w[:, None], x * ended[:, None], x * died[:, None]])
+            order = np.argsort(place, kind="stable")
+            sums = np.add.reduceat(row[order], np.searchsorted(place[order], np.arange(len(days))), axis=0)
+            for day, values in zip(days.tolist(), sums):
+                name = str(day)
+                total[name] = total[name] + values if name in total else values
+        return total
+
+    return {int(day): values for day, values in summed_arrays(scaled.select("t", "e", *xs), partial).items()}
+
+
 def _day_terms(scaled, xs, beta, ties):
     """Log-likelihood, gradient and the per-day weights of the second derivative."""
     p = len(xs)
-    weighted = scaled.withColumn("w", F.exp(_score(xs, beta)))
-    died = F.col("e") == 1
-    table = (
-        weighted.groupBy("t")
-        .agg(
-            F.sum("e").alias("d"),
-            F.sum("w").alias("s0"),
-            F.sum(F.when(died, F.col("w")).otherwise(0.0)).alias("q0"),
-            F.sum(F.when(died, F.log("w")).otherwise(0.0)).alias("lin"),
-            *[F.sum(F.col("w") * F.col(x)).alias(f"s_{x}") for x in xs],
-            *[F.sum(F.when(died, F.col("w") * F.col(x)).otherwise(0.0)).alias(f"q_{x}") for x in xs],
-            *[F.sum(F.when(died, F.col(x)).otherwise(0.0)).alias(f"d_{x}") for x in xs],
-        )
-        .toPandas()
-        .sort_values("t", ascending=False)
-    )
-    days = table["t"].to_numpy()
-    d = table["d"].to_numpy(int)
-    s0 = np.cumsum(table["s0"].to_numpy())
-    s1 = np.cumsum(table[[f"s_{x}" for x in xs]].to_numpy(), axis=0)
-    q0 = table["q0"].to_numpy()
-    q1 = table[[f"q_{x}" for x in xs]].to_numpy()
-    value = float(table["lin"].sum())
-    gradient = table[[f"d_{x}" for x in xs]].to_numpy().sum(axis=0)
-    outer = np.zeros((p, p))
+    found = _day_sums(scaled, xs, beta)
+    days = np.array(sorted(found, reverse=True))
+    table = np.array([found[t] for t in days])
+    d = table[:, 0].astype(int)
+    s0, q0 = np.cumsum(table[:, 1]), table[:, 2]
+    s1, q1 = np.cumsum(table[:, 4 : 4 + p], axis=0), table[:, 4 + p : 4 + 2 * p]
+    event = d > 0
     hazard = np.zeros(len(days))  # added to every row at risk on the day
     relief = np.zeros(len(days))  # taken from the rows that end with an event that day
-    for i in np.flatnonzero(d):
-        share = np.arange(d[i]) / d[i] if ties == "efron" else np.zeros(d[i])
-        den = s0[i] - share * q0[i]
-        inv = 1.0 / den
-        value -= float(np.log(den).sum())
-        a, b = inv.sum(), (share * inv).sum()
-        gradient = gradient - (a * s1[i] - b * q1[i])
-        hazard[i], relief[i] = a, b
-        inv2 = inv * inv
-        c0, c1, c2 = inv2.sum(), (share * inv2).sum(), (share * share * inv2).sum()
-        cross = np.outer(s1[i], q1[i])
-        outer += c0 * np.outer(s1[i], s1[i]) - c1 * (cross + cross.T) + c2 * np.outer(q1[i], q1[i])
+    if ties == "efron":
+        a, b, c0, c1, c2, logs = tie_sums(s0[event], q0[event], d[event])
+    else:
+        n, y = d[event], s0[event]
+        a, b, c0, c1, c2, logs = n / y, 0 * y, n / y**2, 0 * y, 0 * y, n * np.log(y)
+    hazard[event], relief[event] = a, b
+    s, q = s1[event], q1[event]
+    value = float(table[:, 3].sum() - logs.sum())
+    gradient = table[:, 4 + 2 * p :].sum(axis=0) - (a @ s - b @ q)
+    cross = (s * c1[:, None]).T @ q
+    outer = (s * c0[:, None]).T @ s - cross - cross.T + (q * c2[:, None]).T @ q
     upto = np.cumsum(hazard[::-1])[::-1]  # hazard of all event days at or before each day
     return days, value, gradient, (upto, relief, outer)
 
 
+def score_equations(df: DataFrame, duration: str, event: str, model: CoxModel, penalty: float = 0.1, ties: str = "efron") -> np.ndarray:
+    """Derivative of the penalised likelihood at a fitted model, per row and standardised feature: zero at its maximum."""
+    xs = [f"x{i}" for i in range(len(model.features))]
+    rows = df.select(
+        F.col(duration).cast("int").alias("t"), F.col(event).cast("int").alias("e"),
+        *[((F.col(f).cast("double") - F.lit(float(m))) / F.lit(float(s))).alias(x) for f, x, m, s in zip(model.features, xs, model.means, model.scales)],
+    ).na.drop()
+    beta = model.coefficients * model.scales
+    _, _, gradient, _ = _day_terms(rows, xs, beta, ties)
+    n = rows.count()
+    return (gradient - n * penalty * beta) / max(n, 1)
+
+
 def _hessian(scaled, xs, beta, days, per_day) -> np.ndarray:
     upto, relief, outer = per_day
     table = scaled.sparkSession.createDataFrame(
