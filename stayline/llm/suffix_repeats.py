@@ -20,10 +20,10 @@ is sorted in memory by multikey quicksort and neighbours are compared. Splitters
 include the place, so suffixes that are equal a great many times fall into
 several ranges; runs that reach the edge of a range are compared across it.
 
-Texts are named by two hashes. Copies of a text are reduced to one before both
-steps, for every window of a text that stands twice repeats; so no two suffixes
-agree in place as well, and no range grows with the number of copies. No group of
-equal suffixes is ever collected.
+Texts and tokens are named by 96 bits of hash, which tells 10^12 of them apart.
+Copies of a text are reduced to one before both steps, for every window of a text
+that stands twice repeats; so no two suffixes agree in place as well, and no range
+grows with the number of copies. No group of equal suffixes is ever collected.
 """
 
 from __future__ import annotations
@@ -34,11 +34,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stayline.llm.common import bucketed, partitions, stored, text_key, text_of, with_row
-from stayline.llm.rolling import PIECE, Rolled, column_bytes, least_in_window
+from stayline.llm.rolling import PIECE, Rolled, column_bytes, least_in_window, mix
 
 LENGTH = 400
 #: Bytes whose hash decides where anchors are.
@@ -46,9 +46,9 @@ GRAM = 12
 #: Suffixes sorted in one task.
 TASK_SUFFIXES = 500_000
 
-SPARSE = "t1 long, t2 long, k1 long, k2 long, start int, n int"
-WINDOWS = "t1 long, t2 long, k1 long, k2 long, start int"
-SPANS = "k1 long, k2 long, start int, n int, sure boolean"
+SPARSE = "t1 long, t2 int, k1 long, k2 int, start int, n int"
+WINDOWS = "t1 long, t2 int, k1 long, k2 int, start int"
+SPANS = "k1 long, k2 int, start int, n int, sure boolean"
 
 
 def stretch(length: int) -> int:
@@ -91,7 +91,7 @@ def anchors(raw: np.ndarray, starts: np.ndarray, length: int) -> Iterator[tuple[
         far = np.minimum(near - step + 1 + length, len(piece))
         yield (
             text[first], lo + first - starts[text[first]], n,
-            rolled.of(near, far), rolled.of(first, first + n - 1 + length) + n.astype(np.uint64),
+            rolled.of(near, far), mix(rolled.of(first, first + n - 1 + length) + n.astype(np.uint64)),
         )
 
 
@@ -99,6 +99,11 @@ def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 
 
+def _upper(x: np.ndarray) -> pa.Array:
+    """The upper half of a hash, which with a whole one beside it tells enough apart."""
+    return pa.array((x >> np.uint64(32)).astype(np.uint32).view(np.int32))
+
+
 def _keys(batch: pa.RecordBatch, rows: np.ndarray) -> list[pa.Array]:
     index = pa.array(rows)
     return [batch.column("k1").take(index), batch.column("k2").take(index)]
@@ -110,7 +115,7 @@ def _sparse(length: int):
             raw, starts = column_bytes(batch.column("text"))
             for text, start, n, t1, t2 in anchors(raw, starts, length):
                 yield pa.RecordBatch.from_arrays(
-                    [_signed(t1), _signed(t2), *_keys(batch, text),
+                    [_signed(t1), _upper(t2), *_keys(batch, text),
                      pa.array(start.astype(np.int32)), pa.array(n.astype(np.int32))],
                     names=[x.split()[0] for x in SPARSE.split(", ")],
                 )
@@ -212,7 +217,7 @@ def _window_suffixes(length: int):
                 text, at, t1, t2 = (np.concatenate(x) for x in zip(*held))
                 held.clear()
                 return pa.RecordBatch.from_arrays(
-                    [_signed(t1), _signed(t2), *_keys(batch, text), pa.array(at.astype(np.int32))],
+                    [_signed(t1), _upper(t2), *_keys(batch, text), pa.array(at.astype(np.int32))],
                     names=[x.split()[0] for x in WINDOWS.split(", ")],
                 )
 
@@ -230,7 +235,7 @@ def _window_suffixes(length: int):
     return emit
 
 
-EDGED = "t1 long, t2 long, k1 long, k2 long, start int, repeats boolean"
+EDGED = "t1 long, t2 int, k1 long, k2 int, start int, repeats boolean"
 
 
 def _compare_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -259,6 +264,12 @@ def sorted_ranges(suffixes: DataFrame, rows: int, compare, schema: str) -> DataF
     return suffixes.repartitionByRange(ranges, "t1", "t2", "k1", "k2", "start").mapInArrow(compare, schema)
 
 
+def suffix_key(text: Column) -> list[Column]:
+    """A hash of 64 bits and one of 32 that name a text; suffix rows carry them."""
+    k1, k2 = text_key(text)
+    return [k1, F.shiftright(k2, 32).cast("int").alias("k2")]
+
+
 def distinct_texts(rows: DataFrame) -> DataFrame:
     """(k1, k2, text, copies): every text of ``rows`` (k1, k2, text) once, in buckets of its key.
 
@@ -357,7 +368,7 @@ def remove_repeats(
         raise ValueError(f"length must be at least {2 * GRAM}")
     added = ["n_bytes", "n_removed", "removed_spans", "kept_sha256", "kept_text"]
     names = [c for c in (docs.columns if keep is None else keep) if c not in added]
-    k1, k2 = text_key(text_of(text))
+    k1, k2 = suffix_key(text_of(text))
     own = [text_of(text).alias("own")] if with_text and text not in names else []
     rows = docs.select(F.struct(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), *own).alias("all"), k1, k2)
     texts = distinct_texts(docs.select(k1, k2, text_of(text).alias("text")))
