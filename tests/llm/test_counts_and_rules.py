@@ -141,3 +141,32 @@ def test_sketches_merge_by_addition(spark, odd_docs):
 
 def test_quality_rules_of_no_rows(no_docs):
     assert quality_rules.quality_rules(no_docs).count() == 0
+
+
+def fence_of(values, spread):
+    """Upper quartile plus four distances, of values as bins round them."""
+    import math
+
+    bins = sorted(math.floor(math.log(max(v, quality_rules.LEAST_RATE) / quality_rules.LEAST_RATE) / math.log(quality_rules.BIN_GROWTH)) for v in values)
+    at = lambda q: bins[math.ceil(q * len(bins)) - 1]
+    value = lambda b: 0.0 if b <= 0 else quality_rules.LEAST_RATE * quality_rules.BIN_GROWTH ** (b + 0.5)
+    mid, high = value(at(0.5)), value(at(0.75))
+    return high + quality_rules.REACH * max(high - mid, spread)
+
+
+def test_verdicts_follow_from_the_rates(spark):
+    """``kept`` worked out again: fences of a document's language and source, of its language, or of all."""
+    rows = [r.asDict() for r in quality_rules.quality_rules(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).collect()]
+    verdicts = set()
+    for r in rows:
+        own = [x for x in rows if (x["lang"], x["source"]) == (r["lang"], r["source"])]
+        if len(own) < quality_rules.LEAST_DOCS:
+            own = [x for x in rows if x["lang"] == r["lang"]]
+        if len(own) < quality_rules.LEAST_DOCS:
+            own = rows
+        fences = r.setdefault("fences", {k: fence_of([x[k] for x in own], s) for k, s in quality_rules.LEAST_SPREAD.items()})
+        assert all(abs(r[f"max_{k}"] - f) < 1e-9 for k, f in fences.items())
+        expected = not r["base_failed"] and all(r[k] <= f for k, f in fences.items())
+        assert r["kept"] == expected
+        verdicts.add(expected)
+    assert verdicts == {True, False}
