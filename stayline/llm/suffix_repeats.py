@@ -294,14 +294,14 @@ def repeated_spans(texts: DataFrame, length: int) -> DataFrame:
     open_ = spans.filter("NOT sure").groupBy("k1", "k2").agg(F.collect_set(F.struct("start", "n")).alias("ranges"))
     expected = spans.filter("NOT sure").agg(F.sum("n")).first()[0] or 0
     windows = texts.join(open_, ["k1", "k2"]).select("k1", "k2", "text", "ranges").mapInArrow(_window_suffixes(length), WINDOWS)
-    compared = sorted_ranges(windows, expected, _compare_windows, EDGED)
+    compared = stored(sorted_ranges(windows, expected, _compare_windows, EDGED), "windows")
     # rows at the edges, two per range at most, meet those with their tokens; all others stay by themselves
-    edge = F.col("t1").isNotNull()
-    meeting = Window.partitionBy(F.when(edge, F.col("t1")).otherwise(F.col("k1")), F.when(edge, F.col("t2")).otherwise(F.col("start")), edge)
-    again = compared.withColumn("met", F.count("*").over(meeting)).filter(F.col("repeats") | (edge & (F.col("met") > 1)))
+    meeting = Window.partitionBy("t1", "t2")
+    edges = compared.filter("t1 IS NOT NULL").withColumn("met", F.count("*").over(meeting)).filter("repeats OR met > 1")
+    inner = compared.filter("t1 IS NULL AND repeats")
     return spans.filter("sure").select("k1", "k2", "start", "n").unionByName(
-        again.select("k1", "k2", "start", F.lit(1).alias("n"))
-    )
+        inner.select("k1", "k2", "start", F.lit(1).alias("n"))
+    ).unionByName(edges.select("k1", "k2", "start", F.lit(1).alias("n")))
 
 
 def covered(start: np.ndarray, n: np.ndarray, length: int) -> tuple[list[int], list[int]]:
