@@ -50,6 +50,10 @@ def evidence_ridge(gram: np.ndarray, cross: np.ndarray, target_ss: float, n: flo
     return weights
 
 
+#: Rows of the state in one partition.
+PARTITION_ROWS = 50_000
+
+
 def _blocks(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(gaps, current values) of the rows of a state table."""
     for batch in batches:
@@ -175,7 +179,8 @@ class IterativeImputer(Configured, Estimator):
                 F.array(*[F.col(c).isNull() for c in columns]).alias("gap"),
                 F.array(*[F.coalesce(F.col(c), F.lit(float(v))) for c, v in zip(columns, start)]).alias("f"),
             )
-            state = written(state, "imputed")
+            # each pass is short: a few full tasks, not many small ones
+            state = written(state.coalesce(n // PARTITION_ROWS + 1), "imputed")
             moments = CoMoments(state, order, start)
             for round_ in range(self.value("maxIter")):
                 done: list = []

@@ -24,3 +24,10 @@ def test_entry(spark):
 
     rows = entry.entry(spark).collect()
     assert rows and {"IS_EARLY_SETTLER", "IS_CHURN", "clients"} <= set(rows[0].asDict())
+
+
+@pytest.mark.parametrize("name", sorted(set(CATALOG.QUERIES) - set(CATALOG.ORACLES)))
+def test_query_without_statement_runs(spark, small, name):
+    """In a session that has built the base table, as the others have by then."""
+    status, note = compare(spark, small, name, CATALOG.QUERIES[name], None)
+    assert status == "rows", note
