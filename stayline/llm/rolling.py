@@ -12,6 +12,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
+from stayline.llm.common import per_process
+
 #: Bytes hashed at a time.
 PIECE = 1 << 18
 
@@ -27,21 +29,18 @@ def column_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[at[0] : at[-1]], at.astype(np.int64) - at[0]
 
 
-#: Tables of powers by base; a plain dict travels to workers by value, unlike a cached function.
-_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-
-
 def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """At least ``n`` powers of an odd base and of its inverse modulo 2**64."""
-    known = _POWERS.get(base)
-    if known is None or len(known[0]) < n:
+    """Powers of an odd base and of its inverse modulo 2**64; a worker keeps the tables, of a few sizes, between tasks."""
+
+    def make() -> tuple[np.ndarray, np.ndarray]:
         with np.errstate(over="ignore"):
             up = np.full(n, base, np.uint64)
             up[0] = 1
             down = np.full(n, pow(base, -1, 2**64), np.uint64)
             down[0] = 1
-            known = _POWERS[base] = np.multiply.accumulate(up), np.multiply.accumulate(down)
-    return known
+            return np.multiply.accumulate(up), np.multiply.accumulate(down)
+
+    return per_process(("powers", base, n), make)
 
 
 def byte_slices(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
