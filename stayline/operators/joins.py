@@ -8,8 +8,12 @@ from pyspark.sql import functions as F
 from stayline.operators.clean import sentinel
 from stayline.operators.dedupe import require_unique
 from stayline.operators.missing import directional_fill
+from stayline.operators.quantiles import largest_group
 from stayline.sources.schema import present
 
+#: Rows of ``right`` per key up to which a latest join looks them up in one array of the key.
+LATEST_LIMIT = 1_000
+
 
 def suffix_overlap(right: DataFrame, left_columns: list[str], keys: list[str], suffix: str) -> DataFrame:
     """Rename right columns that also exist on the left."""
@@ -21,22 +25,28 @@ def left_join(left: DataFrame, right: DataFrame, keys: list[str], suffix: str =
     return left.join(suffix_overlap(right, left.columns, keys, suffix), keys, "left")
 
 
-def latest_join(left: DataFrame, right: DataFrame, keys: list[str], time: str, right_time: str, suffix: str = "_right") -> DataFrame:
+def latest_join(left: DataFrame, right: DataFrame, keys: list[str], time: str, right_time: str, suffix: str = "_right", limit: int = LATEST_LIMIT) -> DataFrame:
     """Every row of ``left`` with the newest row of ``right`` of the same keys at or before its ``time``.
 
-    Both tables are put in one order and the last row of ``right`` is carried
-    forward, so a key with very many rows on both sides makes no product of them
-    and is cut into pieces like any other. Of several rows of ``right`` at one
+    Where every key of ``right`` has few rows, they are joined as one array of the
+    key. Otherwise both tables are put in one order and the last row of ``right`` is
+    carried forward, so a key with very many rows on both sides makes no product of
+    them and is cut into pieces like any other. Both ways give the same rows. Of several rows of ``right`` at one
     time the largest counts. Rows without a key or time match nothing.
     """
     other = suffix_overlap(right.na.drop(subset=[*keys, right_time]), left.columns, keys, suffix)
     when = f"{right_time}{suffix}" if right_time in left.columns and right_time not in keys else right_time
     values = F.struct(F.col(when), *[F.col(f"`{c}`") for c in other.columns if c not in keys and c != when])
     newest = other.groupBy(*keys, F.col(when).alias("_time")).agg(F.max(values).alias("_other"))
+    added = [c for c in other.columns if c not in keys]
+    if largest_group(newest, keys) <= limit:
+        history = newest.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("_time", "_other"))).alias("_history"))
+        known = F.filter("_history", lambda x: x["_time"] <= F.col(f"`{time}`"))
+        found = left.join(history, keys, "left").withColumn("_other", F.get(known, F.size(known) - 1)["_other"])
+        return found.select(*[f"`{c}`" for c in left.columns], *[F.col("_other")[c].alias(c) for c in added])
     own = left.select(*keys, F.col(time).alias("_time"), F.struct(*[F.col(f"`{c}`") for c in left.columns]).alias("_own"))
     both = own.withColumn("_kind", F.lit(1)).unionByName(newest.withColumn("_kind", F.lit(0)), allowMissingColumns=True)
     carried = directional_fill(both, ["_other"], keys, ["_time", "_kind"])
-    added = [c for c in other.columns if c not in keys]
     return carried.filter("_kind = 1").select("_own.*", *[F.col("_other")[c].alias(c) for c in added])
 
 

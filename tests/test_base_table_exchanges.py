@@ -35,3 +35,20 @@ def test_observations_are_dealt_out_once(spark, small):
     # lines and orders by order, orders and customers by customer; nothing after that, and no Python
     assert plan.count("Exchange hashpartitioning") == 4
     assert "rangepartitioning" not in plan and "MapInArrow" not in plan
+
+
+def test_latest_rows_by_array_are_those_carried_forward(spark):
+    """Ties of a time, missing keys and times, keys without a match; few rows of a key need no carrying."""
+    left = spark.createDataFrame(
+        [(None if i % 13 == 0 else i % 6, None if i % 7 == 0 else i, i) for i in range(120)], "k int, t int, n int"
+    )
+    right = spark.createDataFrame(
+        [(None if i % 9 == 0 else i % 5, None if i % 8 == 0 else i // 2 * 3, None if i % 4 == 0 else f"s{i}") for i in range(40)],
+        "k int, at int, s string",
+    )
+    by_array = joins.latest_join(left, right, ["k"], "t", "at")
+    carried = joins.latest_join(left, right, ["k"], "t", "at", limit=1)
+    assert "MapInArrow" not in by_array._jdf.queryExecution().toString()
+    assert by_array.columns == carried.columns
+    assert sorted(map(str, by_array.collect())) == sorted(map(str, carried.collect()))
+    assert by_array.filter("at IS NOT NULL").count() > 50
