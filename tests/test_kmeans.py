@@ -50,6 +50,27 @@ def test_labels_are_nearest_centres(blobs):
         assert r["g"] == ((np.array([r["a"], r["b"]]) - centres) ** 2).sum(1).argmin()
 
 
+def test_passes_read_packed_blocks(spark, blobs, monkeypatch):
+    """Rows lie in whole matrices, one task a full block at most, and all of them are passed over."""
+    df, x = blobs
+    monkeypatch.setattr(kmeans, "BLOCK_ROWS", 50)
+    monkeypatch.setattr(kmeans, "STEP_ROWS", 7)
+    blocks = kmeans.packed(df.select("id", F.array("a", "b").alias("x")).repartition(40))
+    assert blocks.rdd.getNumPartitions() == min(4, spark.sparkContext.defaultParallelism)
+    held = np.concatenate([np.frombuffer(r.x).reshape(r.n, 2) for r in blocks.collect()])
+    assert np.array_equal(held[np.lexsort(held.T)], x[np.lexsort(x.T)])
+    centres = np.array([[0.0, 0.0], [5.0, 0.0], [0.0, 0.0], [90.0, 90.0]])
+    at, d = kmeans.assigned(np.ascontiguousarray(x.T), centres)
+    every = ((x[:, None] - centres[None]) ** 2).sum(2)
+    assert np.array_equal(at, every.argmin(1)) and d == pytest.approx(every.min(1))
+    (found,) = kmeans._sums(blocks, [centres])
+    assert found[2] is None and found[3] is None
+    for j in (0, 1):
+        n, s, ss, cost = found[j]
+        own = x[at == j]
+        assert (n, ss, cost) == (len(own), pytest.approx((own**2).sum()), pytest.approx(d[at == j].sum())) and s == pytest.approx(own.sum(0))
+
+
 def test_newest_row_at_or_before(spark):
     left = spark.createDataFrame(
         [(1, 5, "a"), (1, 1, "b"), (2, 9, "c"), (None, 3, "d"), (3, None, "e"), (1, 5, "a"), (4, 7, "f")], "k int, t int, v string"
