@@ -50,15 +50,36 @@ def evidence_ridge(gram: np.ndarray, cross: np.ndarray, target_ss: float, n: flo
     return weights
 
 
-#: Rows of the state in one partition.
-PARTITION_ROWS = 50_000
+#: Rows of a block of the state.
+BLOCK_ROWS = 1 << 14
+#: Numbers that products per pattern of gaps may take in all; more patterns go by scans.
+PATTERN_NUMBERS = 1 << 23
+
+_STATE = "n long, gap binary, f binary, d double"
+
+
+def _block(gaps: np.ndarray, now: np.ndarray, moved: float) -> pd.DataFrame:
+    return pd.DataFrame({"n": [len(now)], "gap": [gaps.tobytes()], "f": [now.tobytes()], "d": [moved]})
+
+
+def _packed(start: np.ndarray):
+    """Rows of doubles as blocks of gaps and current values, gaps filled with ``start``."""
+
+    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for lo in range(0, len(batch), BLOCK_ROWS):
+                x = batch.iloc[lo : lo + BLOCK_ROWS].to_numpy(float)
+                gaps = np.isnan(x)
+                yield _block(gaps, np.where(gaps, start, x), 0.0)
+
+    return pack
 
 
 def _blocks(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(gaps, current values) of the rows of a state table."""
+    """(gaps, current values) of the blocks of a state table."""
     for batch in batches:
-        if len(batch):
-            yield np.stack(batch["gap"].to_numpy()).astype(bool), np.stack(batch["f"].to_numpy()).astype(float)
+        for n, gap, now in zip(batch["n"], batch["gap"], batch["f"]):
+            yield np.frombuffer(gap, bool).reshape(n, -1), np.frombuffer(now).reshape(n, -1)
 
 
 def _apply(gaps: np.ndarray, now: np.ndarray, steps: list) -> np.ndarray:
@@ -72,10 +93,108 @@ def _apply(gaps: np.ndarray, now: np.ndarray, steps: list) -> np.ndarray:
 
 
 class CoMoments:
-    """Sums and products of the current values, apart for each column over the rows where it was given.
+    """Sums and products of the current values, apart for each column over the rows where it was given."""
+
+    def regression(self, j: int) -> tuple[float, np.ndarray]:
+        """Intercept and weights of column ``j`` on all others, over the rows where it was given."""
+        i = self.order.index(j)
+        rest = np.delete(np.arange(len(self.centre)), j)
+        g, s, n = self.g[i], self.s[i], self.n[i]
+        mean, own = s[rest] / n, s[j]
+        weights = evidence_ridge(
+            g[np.ix_(rest, rest)] - n * np.outer(mean, mean), g[rest, j] - mean * own, g[j, j] - own * own / n, n
+        )
+        return float(self.centre[j] + own / n - (self.centre[rest] + mean) @ weights), weights
+
+
+class PatternMoments(CoMoments):
+    """Products from those of each pattern of gaps, by one scan in all.
+
+    Rows with the same gaps are filled by the same regressions, so a fill is linear in them and
+    the products of the filled rows follow from the products before.
+    """
+
+    def __init__(self, state: DataFrame, order: list[int], centre: np.ndarray):
+        self.order, self.centre = order, centre
+        width = len(centre) + 1
+
+        def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            held: dict[bytes, np.ndarray] = {}
+            for gaps, now in _blocks(batches):
+                # 1 before the values: sums and the number of rows are products too
+                x = np.column_stack([np.ones(len(now)), now - centre])
+                names = np.ascontiguousarray(np.packbits(gaps, axis=1))
+                names = names.view(f"V{names.shape[1]}").ravel()
+                by = np.argsort(names, kind="stable")
+                sorted_ = names[by]
+                starts = np.flatnonzero(np.concatenate([[True], sorted_[1:] != sorted_[:-1]]))
+                for lo, hi in zip(starts, [*starts[1:], len(by)]):
+                    name, own = bytes(sorted_[lo]), x[by[lo:hi]]
+                    product = own.T @ own
+                    held[name] = held[name] + product if name in held else product
+            if held:
+                yield pd.DataFrame({"pattern": list(held), "sums": [m.tobytes() for m in held.values()]})
+
+        def merge(own: pd.DataFrame) -> pd.DataFrame:
+            total = sum(np.frombuffer(m).reshape(width, width) for m in sorted(own["sums"]))
+            return pd.DataFrame({"pattern": own["pattern"].iloc[:1], "sums": [total.tobytes()]})
+
+        parts = state.mapInPandas(partial, "pattern binary, sums binary")
+        found = parts.groupBy("pattern").applyInPandas(merge, "pattern binary, sums binary").collect()
+        found = sorted((bytes(r.pattern), bytes(r.sums)) for r in found)
+        self.gaps = np.array([np.unpackbits(np.frombuffer(p, np.uint8), count=width - 1) for p, _ in found], bool)
+        self.m = np.array([np.frombuffer(m).reshape(width, width) for _, m in found])
+        whole = [self.m[~self.gaps[:, j]].sum(axis=0) for j in order]
+        self.g, self.s, self.n = [w[1:, 1:] for w in whole], [w[0, 1:] for w in whole], [w[0, 0] for w in whole]
+
+    def update(self, state: DataFrame, done: list, step: tuple) -> None:
+        """Take in new fills of one column."""
+        j, intercept, weights = step
+        rest = np.delete(np.arange(len(self.centre)), j)
+        # the fill in centred values, as a row over (1, values); the column itself has no part in it
+        fill = np.zeros(len(self.centre) + 1)
+        fill[1 + rest] = weights
+        fill[0] = intercept + self.centre[rest] @ np.asarray(weights) - self.centre[j]
+        having = np.flatnonzero(self.gaps[:, j])
+        moved = np.zeros((len(having), len(fill)))
+        for at, own in enumerate(having):
+            m = self.m[own]
+            line = fill @ m
+            line[j + 1] = line @ fill
+            moved[at] = line - m[j + 1]
+            m[j + 1], m[:, j + 1] = line, line
+        # a column's products take the patterns in which it was given
+        total = (~self.gaps[np.ix_(having, self.order)]).T.astype(float) @ moved
+        for i, own in enumerate(total):
+            self.s[i][j] += own[0]
+            self.g[i][j] += own[1:]
+            self.g[i][rest, j] += own[1 + rest]
+
+
+def pattern_count(state: DataFrame, most: int) -> int:
+    """Different patterns of gaps; no more than one over ``most`` are counted."""
+
+    def own(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        told: set[bytes] = set()
+        for gaps, _ in _blocks(batches):
+            if len(told) <= most:
+                told |= {bytes(r) for r in np.unique(np.packbits(gaps, axis=1), axis=0)}
+        yield pd.DataFrame({"pattern": sorted(told)[: most + 1]})
+
+    return state.mapInPandas(own, "pattern binary").distinct().limit(most + 1).count()
+
+
+def moments_of(state: DataFrame, order: list[int], centre: np.ndarray) -> CoMoments:
+    most = PATTERN_NUMBERS // (len(centre) + 1) ** 2
+    kind = PatternMoments if pattern_count(state, most) <= most else ScannedMoments
+    return kind(state, order, centre)
+
+
+class ScannedMoments(CoMoments):
+    """Products for any number of patterns.
 
     One scan sets them up. When a column gets new fills, only its row and column
-    of each product change, by what the rows with that gap contribute.
+    of each product change, by what the rows with that gap contribute: a scan a column.
     """
 
     def __init__(self, state: DataFrame, order: list[int], centre: np.ndarray):
@@ -96,17 +215,6 @@ class CoMoments:
         found = summed_arrays(state, partial)
         self.g, self.s, self.n = found["g"], found["s"], found["n"]
 
-    def regression(self, j: int) -> tuple[float, np.ndarray]:
-        """Intercept and weights of column ``j`` on all others, over the rows where it was given."""
-        i = self.order.index(j)
-        rest = np.delete(np.arange(len(self.centre)), j)
-        g, s, n = self.g[i], self.s[i], self.n[i]
-        mean, own = s[rest] / n, s[j]
-        weights = evidence_ridge(
-            g[np.ix_(rest, rest)] - n * np.outer(mean, mean), g[rest, j] - mean * own, g[j, j] - own * own / n, n
-        )
-        return float(self.centre[j] + own / n - (self.centre[rest] + mean) @ weights), weights
-
     def update(self, state: DataFrame, done: list, step: tuple) -> None:
         """Take in new fills of one column; ``done`` are the regressions of this round before it."""
         j, order, centre = step[0], self.order, self.centre
@@ -115,6 +223,11 @@ class CoMoments:
         def partial(batches):
             total = {"d": np.zeros((q, p)), "e": np.zeros(q), "s": np.zeros(q)}
             for gaps, now in _blocks(batches):
+                # only rows with this gap get new values
+                own = gaps[:, j]
+                gaps, now = gaps[own], now[own]
+                if not len(now):
+                    continue
                 before = _apply(gaps, now, done)
                 x = before - centre
                 fresh = _apply(gaps, before, [step])[:, j] - centre[j]
@@ -126,8 +239,7 @@ class CoMoments:
                     total["s"][i] += moved.sum()
             return total
 
-        # only rows with this gap get new values
-        found = summed_arrays(state.filter(F.col("gap")[j]), partial)
+        found = summed_arrays(state, partial)
         if not found:
             return
         rest = np.delete(np.arange(p), j)
@@ -141,10 +253,10 @@ class CoMoments:
 class IterativeImputer(Configured, Estimator):
     """Rounds of per-column regressions on the given rows of each column.
 
-    The current values are a written table, one per round; within a round the
-    regressions so far are applied as rows stream by. Products of the columns are
-    kept up to date by what changes, so each round costs the same: one short scan
-    of the rows with a gap per column, and one write.
+    The current values are a written table, one per round. Products of the columns
+    follow from those of each pattern of gaps, set up by one scan; where patterns are
+    too many to hold, they are kept up to date by a scan per column instead. So each
+    round costs the same, and its write tells whether values still move.
     """
 
     OPTIONS = {"columns": [], "maxIter": 10, "tolerance": 1e-3, "initial": "mean"}
@@ -175,13 +287,9 @@ class IterativeImputer(Configured, Estimator):
         steps: list = []
         start = np.array(initial, dtype=float)
         if order:
-            state = rows.select(
-                F.array(*[F.col(c).isNull() for c in columns]).alias("gap"),
-                F.array(*[F.coalesce(F.col(c), F.lit(float(v))) for c, v in zip(columns, start)]).alias("f"),
-            )
-            # each pass is short: a few full tasks, not many small ones
-            state = written(state.coalesce(n // PARTITION_ROWS + 1), "imputed")
-            moments = CoMoments(state, order, start)
+            parts = min(rows.sparkSession.sparkContext.defaultParallelism, n // BLOCK_ROWS + 1)
+            state = written(rows.mapInPandas(_packed(start), _STATE).repartition(parts), "imputed")
+            moments = moments_of(state, order, start)
             for round_ in range(self.value("maxIter")):
                 done: list = []
                 for j in order:
@@ -190,22 +298,19 @@ class IterativeImputer(Configured, Estimator):
                     moments.update(state, done, step)
                     done.append(step)
                 steps += done
-                state = written(state.mapInPandas(_moved(done), "gap array<boolean>, f array<double>, d double"), "imputed")
+                state = written(state.mapInPandas(_moved(done), _STATE), "imputed")
                 if round_ and (state.agg(F.max("d")).first()[0] or 0.0) < limit:
                     break
         return IterativeImputerModel(columns=columns, initial=[float(v) for v in start], steps=[list(s) for s in steps])
 
 
 def _moved(steps: list):
-    """The state after a round, with the largest change of each row."""
+    """The state after a round, with the largest change of each block."""
 
     def move(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if not len(batch):
-                continue
-            (gaps, now), = _blocks(iter([batch]))
+        for gaps, now in _blocks(batches):
             fresh = _apply(gaps, now, steps)
-            yield pd.DataFrame({"gap": batch["gap"], "f": list(fresh), "d": np.abs(fresh - now).max(axis=1)})
+            yield _block(gaps, fresh, float(np.abs(fresh - now).max(initial=0.0)))
 
     return move
 

@@ -7,6 +7,7 @@ import pytest
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
+from stayline.ml import iterative
 from stayline.ml.iterative import IterativeImputer, evidence_ridge
 from stayline.ml.moments import pairwise_correlation
 from stayline.ml.oversample import exact_neighbours, oversample
@@ -268,6 +269,30 @@ def test_iterative_imputer_is_that_of_plain_rounds(spark):
     assert len(model.value("steps")) == 9
 
 
+def test_imputer_takes_products_from_patterns_of_gaps(spark, monkeypatch):
+    """One scan for all columns and rounds; with too many patterns, scans per column give the same regressions."""
+    rng = np.random.default_rng(9)
+    full = rng.normal(size=(300, 9)) @ rng.normal(size=(9, 9)) + 50
+    gaps = rng.random(full.shape) < [0.0, 0.1, 0.2, 0.4, 0.0, 0.3, 0.1, 0.0, 0.5]
+    names = list("abcdefghi")
+    rows = [tuple(None if g else float(v) for v, g in zip(row, hole)) for row, hole in zip(full, gaps)]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in names)).repartition(3)
+    monkeypatch.setattr(iterative, "BLOCK_ROWS", 70)
+    fit = lambda: IterativeImputer(columns=names, maxIter=3, tolerance=0.0).fit(df).value("steps")
+    monkeypatch.setattr(iterative, "PATTERN_NUMBERS", 0)
+    by_scans = fit()
+    monkeypatch.undo()
+
+    def scan(*_):
+        raise AssertionError("a scan per column")
+
+    monkeypatch.setattr(iterative, "summed_arrays", scan)
+    by_patterns = fit()
+    assert [j for j, *_ in by_patterns] == [j for j, *_ in by_scans] and len(by_scans) == 18
+    for (_, a, v), (_, b, w) in zip(by_patterns, by_scans):
+        assert a == pytest.approx(b, rel=1e-6, abs=1e-6) and v == pytest.approx(w, rel=1e-6, abs=1e-6)
+
+
 def test_ward_joins_close_points():
     points = np.array([[0.0], [0.1], [5.0], [5.1], [20.0]])
     assert segments.ward_labels(points, 3) == [1, 1, 2, 2, 3]
