@@ -15,6 +15,8 @@ from stayline.sources.schema import columns_with_prefix, present
 #: Values per column that the heavy-hitter sketch reports at most.
 CANDIDATES = 4
 NEAR_CONSTANT_SHARE = 0.98
+#: Columns above which a test of all of them is not put into one generated method.
+WIDE_COLUMNS = 40
 LOAN_DATES = ("OBS_DATE", "DCREAT", "DATFIN", "D1FIN", "DPOS", "DCSP")
 ZERO_MEANS_NONE = ("COUNT_", "MONTVENC_", "MONTABATV_", "DIVIDAS_")
 
@@ -166,10 +168,22 @@ def drop_sparse_rows(df: DataFrame, max_missing: float = 0.5) -> DataFrame:
 
     Columns that cannot be null count as filled without being tested: a short
     condition keeps the optimizer's constraint inference cheap on wide tables.
+    There the filled ones are counted in an array, since one test of so many
+    columns makes a generated method too long for the JVM to compile.
     """
     nullable = [f.name for f in df.schema.fields if f.nullable]
     needed = int(len(df.columns) * (1 - max_missing)) - (len(df.columns) - len(nullable))
-    return df.na.drop(thresh=needed, subset=nullable) if needed > 0 else df
+    if needed <= 0:
+        return df
+    if len(nullable) <= WIDE_COLUMNS:
+        return df.na.drop(thresh=needed, subset=nullable)
+    kinds = dict(df.dtypes)
+
+    def filled(name: str) -> Column:
+        c = F.col(f"`{name}`")
+        return c.isNotNull() & ~F.isnan(c) if kinds[name] in ("float", "double") else c.isNotNull()
+
+    return df.filter(F.size(F.array_compact(F.array(*[F.when(filled(c), True) for c in nullable]))) >= needed)
 
 
 def constant_columns(df: DataFrame, columns: list[str]) -> list[str]:

@@ -242,3 +242,19 @@ def test_only_a_local_master_may_use_a_temporary_folder():
     for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]", "k8s://host"):
         with pytest.raises(RuntimeError):
             require_local(master)
+
+
+def test_sparse_rows_of_wide_tables_are_those_of_the_plain_test(spark):
+    """Wide tables count filled columns in an array: one test of them all is too long for the JVM to compile."""
+    odd = [None, float("nan"), 1.0, 2.0]
+    value = lambda i, j: odd[(i * 7 + j * (i % 5 + 1)) % 4] if (i + j) % 3 else (None if i % 2 else 3.0)
+    rows = [tuple([i, *(value(i, j) for j in range(60)), *(None if i % 6 else "s" for _ in range(9))]) for i in range(120)]
+    names = ["k long", *(f"x{j} double" for j in range(60)), *(f"s{j} string" for j in range(9))]
+    df = spark.createDataFrame(rows, ", ".join(names))
+    for share in (0.4, 0.5, 0.6):
+        got = clean.drop_sparse_rows(df, share)
+        plain = df.na.drop(thresh=int(70 * (1 - share)))
+        assert "atleastnnonnulls" not in got._jdf.queryExecution().executedPlan().toString().lower()
+        assert sorted(one(got, "k")) == sorted(one(plain, "k"))
+    assert 0 < got.count() < 120
+    assert clean.drop_sparse_rows(df, 1.0).count() == 120
