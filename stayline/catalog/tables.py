@@ -516,7 +516,9 @@ def e01(spark, folder):
 
 @query("e02_most_complete", "SELECT CONTRIB, DOSSIER, OBS_DATE, D1FIN, MTFIN, CRD, SEQ_LINE, SEQ_PART FROM loans", doubles="MTFIN CRD", dates="OBS_DATE D1FIN")
 def e02(spark, folder):
-    rows = plan.prepared_loans(bindings.loans(spark, folder), bindings.SEQUENCE)
+    loans = bindings.loans(spark, folder)
+    # ordinary contracts stay where the join put them, as in the base table
+    rows = plan.prepared_loans(loans, bindings.SEQUENCE, sizes=contracts.measure_sizes(loans))
     return rows.select("CONTRIB", "DOSSIER", "OBS_DATE", "D1FIN", "MTFIN", "CRD", "SEQ_LINE", "SEQ_PART")
 
 

@@ -37,6 +37,20 @@ def test_observations_are_dealt_out_once(spark, small):
     assert "rangepartitioning" not in plan and "MapInArrow" not in plan
 
 
+def test_most_complete_rows_are_dealt_out_once(spark, small):
+    """The query of the deduplicated observations deals no line out after the join, nor writes it on the way."""
+    import __spark_entry__
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = __spark_entry__.queries()["e02_most_complete"](spark, small)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "stayline-filled" not in plan
+    assert plan.count("Exchange hashpartitioning") == 4
+
+
 def test_latest_rows_by_array_are_those_carried_forward(spark):
     """Ties of a time, missing keys and times, keys without a match; few rows of a key need no carrying."""
     left = spark.createDataFrame(
