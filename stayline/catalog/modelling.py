@@ -318,12 +318,14 @@ def q04(spark, folder):
 
 @query("u07_cluster_table")
 def u07(spark, folder):
-    """The clustering table merged to segments, with segment sizes and means."""
+    """The clustering table merged to segments, with segment sizes, means of all its columns and the rows rejected before."""
     from stayline.plans.clustering import build_cluster_table, build_segments
 
     built = build_cluster_table(stored_abt(spark, folder))
     out = build_segments(built.table)
-    return segments.cluster_distribution(out, "segment_final")
+    means = segments.group_centroids(out, "segment_final", numeric_columns(built.table, ("CONTRIB",)))
+    sizes = segments.cluster_distribution(out, "segment_final").withColumn("rejected", F.lit(built.rejected.count()))
+    return sizes.join(means, "segment_final")
 
 
 # ------------------------------------------------------------------ fitted preprocessing
